@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import packing, tokens
+from siltstone.llm import forms, mixing, packing, tokens
 from siltstone.session import staged
 
 #: Rows of the capacity table that are held on the driver at most.
@@ -18,6 +18,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _mix(spark: SparkSession, sf_dir: str) -> mixing.Mix:
+    return mixing.mix(*(table(spark, sf_dir, t) for t in ("mix_candidates", "dataset_profiles", "mix_plans", "mix_targets")))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources that a mix cannot fill."""
+    return mixing.unfilled(_mix(spark, sf_dir).report)
+
+
+def p1_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wanted and actual tokens and shares of each source of each mix."""
+    return _mix(spark, sf_dir).report
+
+
+def p1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of each mix and how often each is used."""
+    return _mix(spark, sf_dir).chosen
+
+
 def p2_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and tokens by source, language and domain, over all documents."""
     ledger = tokens.TokenLedger(spark)
@@ -40,6 +59,16 @@ def p2_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.update(docs, profiles)
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that repeat an earlier one in another form."""
+    return forms.form_groups(table(spark, sf_dir, "raw_records"))[1]
+
+
+def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each different record once, by its smallest id, with the number of its copies."""
+    return forms.form_groups(table(spark, sf_dir, "raw_records"))[0]
+
+
 def p5_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
     docs = table(spark, sf_dir, "documents")
@@ -69,12 +98,58 @@ def p6_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
+    "p1_shares": p1_shares,
+    "p1_mix": p1_mix,
     "p2_budget": p2_budget,
     "p2_tokens": p2_tokens,
     "p2_delta": p2_delta,
+    "p4_found": p4_found,
+    "p4_records": p4_records,
     "p5_ids": p5_ids,
     "p6_pack": p6_pack,
     "p6_unused": p6_unused,
 }
 
-ORACLES: dict[str, str] = {}
+_MIX_SQL = """
+WITH first_seen AS (
+  SELECT candidate_id, n_tokens, lower(trim(profile)) AS profile,
+         row_number() OVER (PARTITION BY candidate_id ORDER BY counted_at) AS delivery
+  FROM mix_candidates),
+usable AS (
+  SELECT candidate_id, lower(trim(p.source)) AS source, n_tokens
+  FROM first_seen f JOIN dataset_profiles p ON f.profile = lower(trim(p.profile))
+  WHERE delivery = 1 AND n_tokens > 0),
+sizes AS (SELECT source, sum(n_tokens) AS available FROM usable GROUP BY source),
+targets AS (
+  SELECT mix_id, lower(trim(source)) AS source, max(CAST(weight AS DECIMAL(28,12))) AS weight, max(max_epochs) AS max_epochs
+  FROM mix_targets WHERE weight > 0 GROUP BY 1, 2),
+shares AS (
+  SELECT t.*, CAST(weight AS DOUBLE) / CAST(sum(weight) OVER (PARTITION BY mix_id) AS DOUBLE) AS share FROM targets t),
+wants AS (
+  SELECT s.mix_id, s.source, s.share, s.max_epochs, coalesce(z.available, 0) AS available,
+         s.share * p.size_factor * CAST((SELECT sum(n_tokens) FROM usable) AS DOUBLE) AS wanted,
+         CAST(('0x' || substr(md5('0|' || s.mix_id || '|' || s.source), 1, 8)) AS BIGINT) / 4294967296.0::DOUBLE AS shift
+  FROM shares s JOIN mix_plans p ON s.mix_id = p.mix_id LEFT JOIN sizes z ON s.source = z.source),
+plan AS (
+  SELECT *, CASE WHEN wanted >= max_epochs * available THEN CAST(max_epochs AS DOUBLE) ELSE wanted / available END AS rate FROM wants),
+places AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY length(bin(n_tokens)), md5(CAST(candidate_id AS VARCHAR))) AS place FROM usable),
+chosen AS (
+  SELECT mix_id, source, candidate_id, CAST(floor(place * rate + shift) - floor((place - 1) * rate + shift) AS BIGINT) AS copies, n_tokens
+  FROM places JOIN (SELECT mix_id, source, rate, shift FROM plan WHERE rate > 0) USING (source)
+  WHERE floor(place * rate + shift) > floor((place - 1) * rate + shift)),
+got AS (
+  SELECT mix_id, source, sum(copies) AS emitted, count(*) AS used, sum(copies * n_tokens) AS tokens FROM chosen GROUP BY 1, 2)
+"""
+
+ORACLES: dict[str, str] = {
+    "p1_found": _MIX_SQL + "SELECT mix_id, source FROM plan WHERE wanted > max_epochs * available",
+    "p1_shares": _MIX_SQL
+    + """
+SELECT mix_id, source, share, wanted, CAST(available AS BIGINT) AS available, max_epochs,
+       CAST(coalesce(emitted, 0) AS BIGINT) AS emitted, coalesce(used, 0) AS used, CAST(coalesce(tokens, 0) AS BIGINT) AS tokens,
+       coalesce(tokens, 0)::DOUBLE / CAST(sum(coalesce(tokens, 0)) OVER (PARTITION BY mix_id) AS DOUBLE) AS actual_share
+FROM plan LEFT JOIN got USING (mix_id, source)""",
+    "p1_mix": _MIX_SQL + "SELECT mix_id, source, candidate_id, copies, n_tokens FROM chosen",
+}
