@@ -23,10 +23,10 @@ from siltstone.llm.lexicon import Lexicon
 TOKENIZERS = "/opt/tokenizers"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The characters with the property White_Space.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = r"\t-\r \x85\xa0  -     　"
 
 _UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-_RARE_SPACE = re.compile("[\x0b\x0c\x85\xa0  -     　]")
+_RARE_SPACE = re.compile(r"[\x0b\x0c\x85\xa0  -     　]")
 _BLANKS = frozenset(re.findall(f"[{SPACE}]", "".join(map(chr, range(0x3001)))))
 _TOUCHING = ("  ", "\n ", " \n", "\r ", " \r", "\t ", " \t")
 _CODECS: dict[tuple, WordCodec] = {}

@@ -13,7 +13,7 @@ from siltstone.session import staged
 #: Records of one cell of the order within a source, about.
 CELL_ROWS = 100_000
 #: Fixed value: blanks that trimming removes.
-BLANKS = " \t\n\r\f\x0b\x85\xa0  　﻿"
+BLANKS = " \t\n\r\f\x0b\x85\xa0    ​　﻿"
 
 
 def label(column: str) -> Column:

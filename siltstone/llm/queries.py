@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import forms, mixing, packing, tokens
+from siltstone.llm import forms, mixing, neardup, packing, tokens
 from siltstone.session import staged
 
 #: Rows of the capacity table that are held on the driver at most.
@@ -59,6 +59,20 @@ def p2_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.update(docs, profiles)
 
 
+def _near(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
+    return neardup.near_duplicates(table(spark, sf_dir, "samples"), width=3, threshold=0.6, least_words=20)
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of samples with nearly the same text."""
+    return _near(spark, sf_dir).pairs()
+
+
+def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of each sample of enough words, with its copies and links."""
+    return _near(spark, sf_dir).groups()
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that repeat an earlier one in another form."""
     return forms.form_groups(table(spark, sf_dir, "raw_records"))[1]
@@ -104,6 +118,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_budget": p2_budget,
     "p2_tokens": p2_tokens,
     "p2_delta": p2_delta,
+    "p3_found": p3_found,
+    "p3_groups": p3_groups,
     "p4_found": p4_found,
     "p4_records": p4_records,
     "p5_ids": p5_ids,
