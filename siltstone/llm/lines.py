@@ -1,0 +1,170 @@
+"""Which lines of a text are running sentences, and which are entries of lists, rows of tables or junk."""
+
+from __future__ import annotations
+
+import re
+
+#: Characters that end a line.
+LINE_END = re.compile("\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
+_INVISIBLE = re.compile("[\\s\x00-\x1f\x7f-\x9f­​-‏‪-‮⁠-⁤﻿]+")
+_MARK = re.compile(r"\s*(?:[-+*•‣◦▪▫■□●○·∙–—☐☑☒✓✔✗✘➤►▶→»※◆◇★☆]|\[[ xX✓]?\]|[（(]?(?:\d{1,4}|[a-zA-Z]|[ivxIVX]{1,5}|[一二三四五六七八九十]{1,3})[.)）、]|#\d+|\d{1,3}\s*[-–])\s+\S|\s*[•‣◦▪●○☐☑✓✔✗]\S|\s*[一二三四五六七八九十]{1,3}[、．]\S|\s*(?:\d{1,3}[、]|[（(][一二三四五六七八九十\d]{1,3}[）)])\S")
+_LEADER = re.compile(r"(?:\.\s?){4,}\s*\d*\s*$|…{2,}\s*\d*\s*$|·{4,}\s*\d*\s*$|_{4,}\s*\d*\s*$")
+_URL = re.compile(r"\s*(?:[-*•]\s*)?(?:https?://|www\.|ftp://|mailto:)\S+\s*$")
+_INDEX = re.compile(r"\S.*,\s*\d{1,4}(?:[-–]\d{1,4})?(?:,\s*\d{1,4}(?:[-–]\d{1,4})?)*\s*$")
+_RULE = re.compile(r"[\s\-=+|*_#~:.─━│┃┌┐└┘├┤┬┴┼═║╔╗╚╝]+$")
+_GAPS = re.compile(r"\S(?: {2,}|\t+|　{2,})(?=\S)")
+_PAIR = re.compile(r"\s*[\w.-]+\s*[=:]\s*[^;,\s]*(?:[;,&]\s*[\w.-]+\s*[=:]\s*[^;,\s]*){1,}[;,]?\s*$")
+_LEAF = re.compile(r"\s*[\"']?[\w.$-]+[\"']?\s*[=:]\s*\S{0,40},?\s*$")
+_STOP = re.compile(r"[.!?。！？…](?:[\"'”’»)\]）」』]*)(?=\s|$)|[。！？]")
+_END = re.compile(r"[.!?。！？…:：;；,，、][\"'”’»)\]）」』]*\s*$")
+_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_LONGER = re.compile(r"[^\W\d_]{2,}")
+_CJK = re.compile("[㐀-䶿一-鿿぀-ヿ가-힯]")
+_CJK_STOP = re.compile("[，。！？；、]")
+_NAMED = re.compile(r"\s*(?:[^\s:：]+\s?){1,4}[:：]\s+\S")
+
+
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
+_MARKER = re.compile(r"<\|[^|<>]{1,30}\|>|</?[a-zA-Z]{1,12}>|\[[A-Z]{3,5}\]")
+_DOUBLE = re.compile("[\xc2-\xf4][\x80-\xbf]|[\xc3\xc2\xe2][\u0080-\u2122]")
+
+
+def mended(text: str) -> str:
+    """The text without literal marker strings; where it was decoded wrongly all over, decoded again."""
+    text = _MARKER.sub("", text)
+    if not text.isascii() and len(_DOUBLE.findall(text)) * 6 > len(text):
+        again = text.encode("cp1252", "ignore").decode("utf-8", "ignore") if not re.search("[\x80-\x9f]", text) else text.encode("latin-1", "ignore").decode("utf-8", "ignore")
+        if len(again) * 5 > len(text):
+            return again
+    return text
+
+
+_ASCII_HIDDEN = bytes([*range(33), 127])
+
+
+def shown(text: str) -> str:
+    """The text without blanks, control and invisible characters."""
+    return text.encode().translate(None, _ASCII_HIDDEN).decode() if text.isascii() else _INVISIBLE.sub("", text)
+
+
+def visible(line: str) -> int:
+    return len(line.encode().translate(None, _ASCII_HIDDEN)) if line.isascii() else len(_INVISIBLE.sub("", line))
+
+
+def line_kind(line: str, common: frozenset[str]) -> str:
+    """``list``, ``table``, ``junk`` or ``text`` of a line by itself."""
+    bare = line.strip()
+    size = len(bare)
+    bars = bare.count("|") + bare.count("\u00a6") + bare.count("\u2502")
+    if size <= 240:
+        if _RULE.match(bare):
+            return "table"
+        if _URL.match(bare) or _LEADER.search(bare):
+            return "list"
+        ands = bare.count(" & ")
+        if ands and bare.endswith("\\\\") or ands >= 2 and not _STOP.search(bare):
+            return "table"
+        trail = bare.count(" \u00bb ") + bare.count(" \u203a ") + bare.count(" > ") + bare.count(" \u00b7 ") + bare.count(" \u2022 ")
+        if trail >= 2 or bars == 1 and size < 60:
+            return "list"
+        if _PAIR.match(bare):
+            return "table"
+        if _MARK.match(line):
+            return "list"
+    if bars >= 2 and size / (bars + 1) < 60 and len(_STOP.findall(bare)) * 3 <= bars:
+        return "table"
+    gaps = _GAPS.findall(bare)
+    if gaps:
+        words = bare.split()
+        if len(gaps) >= len(words) - 1 and len(words) > 4:  # every blank is wide: sentences if they have the words for it
+            if sum(w.lower() in common for w in words) < 0.12 * len(words) and len(_CJK_STOP.findall(bare)) * 45 < size:
+                return "table"
+        elif len(gaps) * 4 >= len(words) - 1 and not (len(gaps) == 1 and (_STOP.search(bare) or size > 90)):
+            return "table"
+    if size <= 240:
+        cells = max(bare.count(";"), bare.count(","))
+        if cells >= 2 and size / (cells + 1) < 24 and sum(map(str.isdigit, bare)) * 6 > size and bare[-1] not in ".!?\u3002":
+            return "table"
+        if size < 90 and cells and bare[-1].isdigit() and _INDEX.match(bare):
+            return "list"
+    return "text"
+
+
+def wrapped_share(lines: list[str], cjk: bool) -> float:
+    """Share of the lines of a block into which the next line's first word wouldn't have fitted."""
+    width = max(len(x.rstrip()) for x in lines)
+    full = 0
+    for a, b in zip(lines, lines[1:]):
+        a = a.rstrip()
+        word = 2 if cjk else len(b.split(None, 1)[0])
+        full += len(a) + 1 + word > width or a[-1] in "-\u00ad" or bool(_STOP.search(a[-3:]))
+    return full / max(1, len(lines) - 1)
+
+
+def is_junk(text: str, common: frozenset[str]) -> bool:
+    """Whether a run of text has no words that sentences are made of."""
+    seen = shown(text)
+    if not seen:
+        return False
+    letters = len(_NOT_LETTERS.sub("", seen))
+    if letters < 0.6 * len(seen):
+        return True
+    if not seen.isascii() and len(_CJK.findall(seen)) * 2 > len(seen):
+        return False
+    words = _LONGER.findall(text.lower())
+    if not words or letters / len(words) > 14 or len(seen) / len(text.split()) > 25:
+        return True
+    known = sum(map(common.__contains__, words))
+    if len(words) >= 8 and known < 0.06 * len(words):
+        return True
+    return len(words) >= 5 and letters / len(text.split()) < 2.2
+
+
+def block_kind(lines: list[str], common: frozenset[str]) -> str:
+    """``prose``, ``list`` or ``junk`` of lines that follow each other and aren't marked by themselves."""
+    text = "\n".join(lines)
+    if is_junk(text, common):
+        return "junk"
+    size = visible(text)
+    stops = len(_STOP.findall(text))
+    cjk = not text.isascii() and len(_CJK.findall(text)) * 2 > size
+    if cjk:
+        if len(_CJK_STOP.findall(text)) * 45 >= size:
+            return "prose"
+        if size < 14 * len(text.split()) and len(lines) < len(text.split()) // 2:
+            return "list"  # names side by side
+    elif stops and size / stops < 220:
+        return "prose"
+    longest = max(len(x.strip()) for x in lines)
+    if len(lines) == 1:
+        return "prose" if longest >= (40 if cjk else 90) or stops or size < 30 and _END.search(text) else "list"
+    if longest > (60 if cjk else 160):
+        return "prose"
+    if len(lines) >= 3 and wrapped_share(lines, cjk) >= 0.8 and longest >= 20:
+        return "prose"
+    return "list"
+
+
+def parts(text: str, common: frozenset[str]) -> dict[str, int]:
+    """Visible characters of the text by kind: prose, list, table, junk."""
+    total = {"prose": 0, "list": 0, "table": 0, "junk": 0}
+    block: list[str] = []
+
+    def close() -> None:
+        if block:
+            kind = block_kind(block, common)
+            total[kind] += sum(map(visible, block))
+            block.clear()
+
+    for line in LINE_END.split(mended(text)):
+        if not (bare := line.strip()):
+            close()
+            continue
+        kind = line_kind(line, common)
+        if kind == "text":
+            block.append(line)
+            continue
+        close()
+        total[kind] += visible(bare)
+    close()
+    return total

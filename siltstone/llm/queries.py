@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import forms, mixing, neardup, packing, tokens
+from siltstone.llm import forms, mixing, neardup, packing, quality, tokens
 from siltstone.session import staged
 
 #: Rows of the capacity table that are held on the driver at most.
@@ -111,6 +111,17 @@ def p6_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(staged(_packed(spark, sf_dir), "packed"), capacities(spark, sf_dir))
 
 
+def p7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text statistics of every document, its distance from prose, and what each statistic adds."""
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of 200 characters or more and without a path that are not natural prose."""
+    docs = table(spark, sf_dir, "documents").where("path is null and length(text) >= 200")
+    return quality.not_prose(quality.quality(docs, table(spark, sf_dir, "common_words"))).distinct()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
     "p1_shares": p1_shares,
@@ -125,6 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_ids": p5_ids,
     "p6_pack": p6_pack,
     "p6_unused": p6_unused,
+    "p7_found": p7_found,
+    "p7_quality": p7_quality,
 }
 
 _MIX_SQL = """
