@@ -1,10 +1,294 @@
-"""Registered queries of the core."""
+"""Registered queries of the core, each over its whole tables, and the SQL that gives the same rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from siltstone.functions import text as tx
+from siltstone.operators import dedup, evaluation, prep, sequences, steps
+from siltstone.operators.profiles import PROFILES, language_for_path, reject_path_reason
+from siltstone.plans.pipeline import clean, step_counts, steps_of
+from siltstone.plans.record import CATEGORIES, adapted, with_state
+from siltstone.session import staged
+from siltstone.sources import jsonl
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shape(cleaned: DataFrame) -> DataFrame:
+    return cleaned.select("dataset", "source_id", "decision", F.array_join("reasons", ",").alias("reasons"), F.array_join("flags", ",").alias("flags"), F.col("buckets")["length"].alias("length"))
+
+
+def general_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    key = F.coalesce(F.when(F.col("doc_id") != 0, F.col("doc_id").cast("string")), F.concat(F.lit("documents:"), F.col("doc_id").cast("string")))
+    rows = docs.select(F.lit("documents").alias("dataset"), key.alias("source_id"), F.col("doc_id").alias("seq"), F.col("text").alias("f_text"), F.col("source").alias("f_source"), F.col("quality_mean").alias("score"))
+    return with_state(rows)
+
+
+@query()
+def clean_general_text_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as general text for pretraining."""
+    policy = {"default": {"score_field": "quality_mean", "keep_min": 3.0, "review_min": 2.0}}
+    return shape(clean(general_records(spark, sf_dir), "pretrain", "general_text", config={"quality_policies": policy, "_has_score": True}))
+
+
+def raw(spark: SparkSession, sf_dir: str, category: str) -> DataFrame:
+    """Raw records of one category: their profile names it; of a record delivered again the first counts."""
+    profiles = table(spark, sf_dir, "dataset_profiles").where(F.col("source") == category).select(F.lower(F.trim("profile")).alias("p"))
+    rows = table(spark, sf_dir, "raw_records").withColumn("p", F.lower(F.trim("profile"))).join(profiles, "p", "left_semi")
+    first = rows.groupBy("record_id").agg(F.min(F.struct("ingested_at", "dataset", "payload")).alias("r")).select("record_id", "r.dataset", "r.payload")
+    return adapted(first, "payload", F.col("dataset"), F.col("record_id"), id_field="record_id")
+
+
+def _category_query(category: str, stage: str | None, profile: str | None = None) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return shape(clean(raw(spark, sf_dir, category), stage, category, profile, {"near_dedup": category == "general_text"}))
+
+    run.__name__ = f"profile_{profile}" if profile else f"clean_{category}"
+    run.__doc__ = f"Raw records of the category {category}" + (f" through the profile {profile}." if profile else ".")
+    return run
+
+
+for _category in CATEGORIES:
+    query()(_category_query(_category, None))
+for _name, (_stage, _category, _) in PROFILES.items():
+    query()(_category_query(_category, _stage, _name))
+
+
+@query()
+def step_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows seen and decisions changed at each step for general text."""
+    return step_counts(clean(general_records(spark, sf_dir), "pretrain", "general_text"), steps_of("pretrain", "general_text"))
+
+
+@query("""SELECT doc_id, CASE WHEN text IS NULL OR length(text) = 0 THEN 'empty_training_text' WHEN length(text) < 16 THEN 'too_short'
+WHEN length(text) > 2000000 THEN 'too_long' ELSE 'ok' END AS result FROM documents""")
+def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.length(F.coalesce("text", F.lit("")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.when(size == 0, "empty_training_text").when(size < 16, "too_short").when(size > 2_000_000, "too_long").otherwise("ok").alias("result"))
+
+
+@query("SELECT doc_id, coalesce(source, '') = '' AS missing_source FROM documents")
+def provenance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", (F.coalesce("source", F.lit("")) == "").alias("missing_source"))
+
+
+@query(rf"""SELECT doc_id, coalesce(regexp_matches(text, '{steps.SECRET.replace("'", "''")}'), false) AS possible_secret FROM documents""")
+def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", steps.like(F.col("text"), steps.SECRET).alias("possible_secret"))
+
+
+@query("SELECT doc_id, coalesce(contains(lower(text), 'railway timetable') OR contains(lower(text), 'clinic record'), false) AS sensitive_term FROM documents")
+def sensitive_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    low = F.lower("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.contains(low, F.lit("railway timetable")) | F.contains(low, F.lit("clinic record")), F.lit(False)).alias("sensitive_term"))
+
+
+@query("""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS r FROM documents WHERE text <> '') WHERE r > 1""")
+def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", F.sha2("text", 256).alias("digest"))
+    return dedup.later_copies(keyed, "digest", "doc_id")
+
+
+@query()
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that repeat an earlier one but for case and spacing."""
+    docs = table(spark, sf_dir, "documents").where("text <> ''")
+    return dedup.repeats(docs, F.col("text"), "doc_id").where("duplicate").select("doc_id", "digest")
+
+
+@query()
+def near_dedup_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = table(spark, sf_dir, "documents").where("text <> ''").select(F.col("doc_id").alias("seq"), tx.simhash(F.col("text")).alias("fingerprint"))
+    return dedup.near_repeats(staged(prints, "prints")).select(F.col("seq").alias("doc_id"))
+
+
+@query()
+def near_dedup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = table(spark, sf_dir, "documents").where("text <> ''").select(tx.simhash(F.col("text")).alias("fingerprint"))
+    return dedup.near_pairs(staged(prints, "prints"))
+
+
+@query("SELECT doc_id, greatest(1, CAST(ceil(length(text) / 4.0) AS BIGINT)) AS tokens FROM documents WHERE text IS NOT NULL")
+def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", steps.token_estimate(F.col("text")).alias("tokens"))
+
+
+@query("""SELECT candidate_id, CASE WHEN n_tokens <= 2048 THEN '1_2048' WHEN n_tokens <= 8192 THEN '2049_8192' WHEN n_tokens <= 32768 THEN '8193_32768'
+WHEN n_tokens <= 65536 THEN '32769_65536' ELSE 'gt_65536' END AS length,
+CASE WHEN n_tokens <= 16384 THEN 'B16' WHEN n_tokens <= 65536 THEN 'B64' WHEN n_tokens <= 262144 THEN 'B256' ELSE 'gt_256' END AS base FROM mix_candidates WHERE n_tokens IS NOT NULL""")
+def length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "mix_candidates").where("n_tokens is not null")
+    return rows.select("candidate_id", steps.length_label(F.col("n_tokens"), steps.LENGTHS).alias("length"), prep.base_bucket(F.col("n_tokens")).alias("base"))
+
+
+@query("""SELECT doc_id, CASE WHEN quality_mean IS NULL THEN 'review' WHEN quality_mean < 2 THEN 'drop' WHEN quality_mean < 3 THEN 'review' ELSE 'keep' END AS decision FROM documents""")
+def quality_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q = F.col("quality_mean")
+    return table(spark, sf_dir, "documents").select("doc_id", F.when(q.isNull(), "review").when(q < 2, "drop").when(q < 3, "review").otherwise("keep").alias("decision"))
+
+
+_BLANK = r"[\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(rf"""WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: length(regexp_replace(x, '{_BLANK}', '', 'g')) > 0) AS x FROM documents WHERE text IS NOT NULL)
+SELECT doc_id, CAST(len(x) AS INT) AS lines, CAST(len(list_distinct(x)) AS INT) AS distinct_lines FROM l""")
+def line_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = F.filter(tx.lines(F.col("text")), lambda x: F.length(tx.strip(x)) > 0)
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.size(kept).alias("lines"), F.size(F.array_distinct(kept)).alias("distinct_lines"))
+
+
+@query()
+def ngram_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", tx.repeats_itself(F.col("text")).alias("repeats"))
+
+
+@query()
+def compression_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", tx.compression_ratio("text").alias("ratio"))
+
+
+@query()
+def source_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each source file, and why it is rejected, if it is."""
+    docs = table(spark, sf_dir, "documents").where("path is not null")
+    return docs.select("doc_id", language_for_path(F.col("path")).alias("language"), reject_path_reason(F.col("path"), F.octet_length("text").cast("long")).alias("reason"))
+
+
+@query("SELECT coalesce(decision, 'unknown') AS decision, count(*) AS n FROM samples GROUP BY 1")
+def decision_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jsonl.decision_counts(table(spark, sf_dir, "samples"))
+
+
+@query("SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM samples) GROUP BY 1")
+def reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "samples").select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query()
+def release_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Released general text with the hash of each record."""
+    return jsonl.released(clean(general_records(spark, sf_dir), "pretrain", "general_text")).select("source_id", "decision", "record_sha256")
+
+
+@query()
+def stable_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.groupBy(tx.stable_partition(F.col("doc_id"), 16).alias("part")).agg(F.count("*").alias("n"))
+
+
+def _usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each candidate with tokens and a clean profile."""
+    return table(spark, sf_dir, "mix_candidates").where("n_tokens > 0").groupBy("candidate_id").agg(F.min(F.lower(F.trim("profile"))).alias("source"), F.min("n_tokens").alias("n_tokens")).where("source is not null")
+
+
+@query()
+def mix_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of each profile's candidates by a seeded hash, in one seeded order."""
+    rows = staged(_usable(spark, sf_dir), "usable")
+    wanted = {r.source: r["count"] // 10 for r in rows.groupBy("source").count().collect() if r["count"] >= 10}
+    return prep.select_mix(rows.select("source", F.col("candidate_id").alias("id")), wanted, 7)
+
+
+@query()
+def prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("n_tokens") <= 512, "mix16").when(F.col("n_tokens") <= 2048, "mix64").otherwise("mix256")
+    rows = staged(_usable(spark, sf_dir).select(label.alias("mix"), F.col("candidate_id").alias("id")), "candidates")
+    targets = {r.mix: r["count"] // 2 for r in rows.groupBy("mix").count().collect()}
+    return prep.prefix_mixes(rows, targets, 7)
+
+
+@query()
+def microshards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prep.microshards(_usable(spark, sf_dir).withColumnRenamed("candidate_id", "row"), 100_000, tokens="n_tokens")
+
+
+@query()
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples as bytes packed into sequences of 8,192, on eight shards."""
+    ids = sequences.encode(table(spark, sf_dir, "samples").dropDuplicates(["sample_id"]), ["text"], key="sample_id")
+    packed = prep.pack_samples(ids.select("sample_id", "ids"), 8192, 8, key="sample_id", tokens="ids")
+    return packed.select("shard", "bin", F.size("tokens").alias("tokens"), F.size("source_ids").alias("samples"))
+
+
+@query("""WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, count(*) OVER () AS n FROM documents)
+SELECT doc_id, CASE WHEN position < round_even(0.9 * n, 0) THEN 'train' WHEN position < round_even(0.95 * n, 0) THEN 'valid' ELSE 'test' END AS split FROM p""")
+def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = jsonl.with_positions(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], "position")
+    return ids.select("doc_id", prep.split_of(F.col("position"), ids.count(), "90,5,5").alias("split"))
+
+
+@query()
+def sample_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of 2,048 byte tokens over all documents in order."""
+    return prep.token_windows(sequences.encode(table(spark, sf_dir, "documents"), ["text"], eod=256), 2048)
+
+
+@query("""WITH c AS (SELECT dataset, count(*) AS n, count(*) FILTER (decision = 'keep') AS c FROM samples GROUP BY 1)
+SELECT dataset, CAST(n AS INT) AS attempts, CAST(c AS INT) AS correct, round(CASE WHEN n - c < 4 THEN 1.0 WHEN c = 0 THEN 0.0
+ELSE 1 - list_aggregate(list_transform(range(n - c + 1, n + 1), lambda i: 1 - 4.0::DOUBLE / i), 'product') END, 9) AS pass_at_4 FROM c WHERE n >= 4""")
+def pass_at_4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chance that one of four samples of a dataset is kept."""
+    counts = table(spark, sf_dir, "samples").groupBy("dataset").agg(F.count("*").cast("int").alias("attempts"), F.count(F.when(F.col("decision") == "keep", 1)).cast("int").alias("correct")).where("attempts >= 4")
+    return counts.withColumn("pass_at_4", F.round(evaluation.pass_at_k(F.col("attempts"), F.col("correct"), 4), 9))
+
+
+@query("""SELECT dataset, count(*) AS n, round(avg(metrics['quality_mean']), 9) AS mean, round(stddev_pop(metrics['quality_mean']), 9) AS spread
+FROM samples WHERE metrics['quality_mean'] IS NOT NULL GROUP BY 1 HAVING stddev_pop(metrics['quality_mean']) > 1e-6""")
+def varied_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "samples").select("dataset", F.col("metrics")["quality_mean"].alias("q")).where("q is not null")
+    return evaluation.varied_groups(rows, "dataset", "q").select("dataset", "n", F.round("mean", 9).alias("mean"), F.round("spread", 9).alias("spread"))
+
+
+@query()
+def lexical_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluation.curriculum(table(spark, sf_dir, "documents"), "text").select("doc_id", "complexity")
+
+
+@query()
+def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share 13-grams with the question records of the instruction category, as if these were a benchmark."""
+    tests = raw(spark, sf_dir, "instruction").select(F.coalesce("f_instruction", "f_prompt").alias("text")).where("text is not null")
+    return dedup.decontaminate(table(spark, sf_dir, "documents").where("text is not null"), tests)
+
+
+@query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2""")
+def events_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.streaming.pipeline import tumbling
+
+    return tumbling(table(spark, sf_dir, "events")).select("start", "event_type", "n", F.round("total", 6).alias("total"))
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
+def events_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from siltstone.streaming.pipeline import sessions
+
+    return sessions(table(spark, sf_dir, "events"))
+
+
+@query("""SELECT l_returnflag, l_linestatus, sum(l_quantity) AS quantity, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem GROUP BY 1, 2""")
+def revenue_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus")
+    return own.agg(F.sum("l_quantity").alias("quantity"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count("*").alias("n"))
