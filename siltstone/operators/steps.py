@@ -391,8 +391,8 @@ def normalize_general_text(s: State) -> None:
     _first_text(s, ("content", "document", "body", "raw_text"), "general_text", "missing_text")
 
 
-def step(describe, across=None) -> Step:
-    return Step(describe.__name__, describe, across)
+def step(describe, *before) -> Step:
+    return Step(describe.__name__, describe, None, before)
 
 
 PREFIX = [step(f) for f in (normalize_schema_text, validate_basic_integrity, validate_provenance, scan_sensitive_content)]

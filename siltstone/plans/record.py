@@ -9,6 +9,7 @@ conditions; it becomes one projection, guarded by "not dropped yet".
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -183,6 +184,8 @@ class Step:
     describe: Callable[[State], None]
     #: Replaces the projection: a function of the frame, for steps that compare rows.
     across: Callable[[DataFrame, Mapping[str, Any], Step, int], DataFrame] | None = None
+    #: Columns that the step's rules share, in projections of their own before it; dropped after it.
+    before: tuple[Callable[[State], dict[str, Column]], ...] = ()
 
 
 def marked(df: DataFrame, position: int, marks: list[tuple[Column, int, Any]], flags: list[tuple[Column, str]], sets: Mapping[str, Column]) -> DataFrame:
@@ -204,9 +207,24 @@ def marked(df: DataFrame, position: int, marks: list[tuple[Column, int, Any]], f
 def apply_step(df: DataFrame, step: Step, position: int, category: str, config: Mapping[str, Any]) -> DataFrame:
     if step.across is not None:
         return step.across(df, config, step, position)
+    shared: set[str] = set()
+    for columns in step.before:
+        new = columns(State(config, category))
+        shared |= set(new)
+        df = fenced(df.withColumns(new))
     state = State(config, category)
     step.describe(state)
-    return marked(df, position, state.marks, state.flags, state.sets)
+    df = marked(df, position, state.marks, state.flags, state.sets)
+    return fenced(df.drop(*shared) if shared else df)
+
+
+def fenced(df: DataFrame) -> DataFrame:
+    """The frame behind a metrics node, into which the optimizer doesn't merge projections.
+
+    Without it the steps of a pipeline become one projection in which shared
+    expressions are repeated until planning takes longer than running.
+    """
+    return df.observe(f"rows-{uuid.uuid4().hex[:12]}", F.count(F.lit(1)).alias("rows"))
 
 
 def with_state(df: DataFrame) -> DataFrame:
