@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import heapq
 from bisect import bisect_left, insort
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from fractions import Fraction
 from math import ceil, floor
 
@@ -81,28 +81,29 @@ def prefix_mixes(candidates: DataFrame, targets: Mapping[str, int], seed: str |
 def microshards(rows: DataFrame, target: int, source: str = "source", row: str = "row", tokens: str = "tokens") -> DataFrame:
     """``(source, row_start, row_end, tokens)``: runs of rows, closed before the row that would exceed ``target``. Negative sizes count as 0.
 
-    A run depends on the one before it; each source is one sequential scan of two numbers a row.
+    A run depends on the one before it, so the rows of a source pass through one task, in
+    order and in batches: two numbers a row, of which only the open run is held.
     """
     if target <= 0:
         raise ValueError("the target must be positive")
 
-    def cut(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("row")
-        out, begin, held, end = [], None, 0, None
-        for at, size in zip(part["row"].tolist(), part["tokens"].clip(lower=0).tolist()):
-            if held > 0 and held + size > target:
-                out.append((begin, end, held))
-                begin, held = None, 0
-            begin = at if begin is None else begin
-            held, end = held + size, at + 1
-        if begin is not None:
-            out.append((begin, end, held))
-        frame = pd.DataFrame(out, columns=["row_start", "row_end", "tokens"])
-        frame.insert(0, "source", part["source"].iloc[0])
-        return frame
-
-    own = rows.select(F.col(source).alias("source"), F.col(row).cast("long").alias("row"), F.coalesce(tokens, F.lit(0)).cast("long").alias("tokens"))
-    return own.groupBy("source").applyInPandas(cut, "source string, row_start long, row_end long, tokens long")
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, begin, held, end = None, 0, 0, 0
+        for batch in batches:
+            out = []
+            for name, at, size in zip(batch["source"].tolist(), batch["row"].tolist(), batch["tokens"].tolist()):
+                if current is not None and (name != current[0] or held > 0 and held + size > target):
+                    out.append((current[0], begin, end, held))
+                    current = None
+                if current is None:
+                    current, begin, held = (name,), at, 0
+                held, end = held + size, at + 1
+            yield pd.DataFrame(out, columns=["source", "row_start", "row_end", "tokens"])
+        if current is not None:
+            yield pd.DataFrame([(current[0], begin, end, held)], columns=["source", "row_start", "row_end", "tokens"])
+
+    own = rows.select(F.col(source).alias("source"), F.col(row).cast("long").alias("row"), F.greatest(F.coalesce(tokens, F.lit(0)), F.lit(0)).cast("long").alias("tokens"))
+    return own.repartition("source").sortWithinPartitions("source", "row").mapInPandas(cut, "source string, row_start long, row_end long, tokens long")
 
 
 def balance(units: Iterable[tuple[str, float]], workers: int) -> list[list[str]]:
