@@ -207,13 +207,21 @@ def word_units(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"([A-Za-z0-9_]+|[\x{4e00}-\x{9fff}])"), 1)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once; inside of a lambda a plain expression would be computed for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def ngrams(words: Column, n: int) -> Column:
-    count = F.size(words) - n + 1
-    return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))).otherwise(F.array().cast("array<string>"))
+    def grams(w: Column) -> Column:
+        count = F.size(w) - n + 1
+        joined = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(count > 0, joined).otherwise(F.array().cast("array<string>"))
+
+    return let(words, grams)
 
 
 def repeats_itself(text: Column, least: int = 120, n: int = 5, share: float = 0.2) -> Column:
     """Whether more than ``share`` of the word n-grams of a text of ``least`` words occurred before in it."""
-    words = word_units(F.lower(text))
-    grams = ngrams(words, n)
-    return (F.size(words) >= least) & (1 - F.size(F.array_distinct(grams)) / F.greatest(F.size(grams), F.lit(1)) > share)
+    again = lambda g: 1 - F.size(F.array_distinct(g)) / F.greatest(F.size(g), F.lit(1)) > share
+    return let(word_units(F.lower(text)), lambda w: (F.size(w) >= least) & let(ngrams(w, n), again))

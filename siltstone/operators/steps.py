@@ -262,8 +262,8 @@ def validate_tool_call_pairs(s: State) -> None:
 
 def detect_trajectory_outcome(s: State) -> None:
     text = F.lower(s.text())
-    failed = F.exists(F.array(*map(F.lit, FAILURE_MARKS)), lambda m: F.contains(text, m))
-    verified = truthy("$.verified") | truthy("$.tests_passed") | F.exists(F.array(*map(F.lit, SUCCESS_MARKS)), lambda m: F.contains(text, m))
+    failed = reduce(or_, [F.contains(text, F.lit(m)) for m in FAILURE_MARKS])
+    verified = truthy("$.verified") | truthy("$.tests_passed") | reduce(or_, [F.contains(text, F.lit(m)) for m in SUCCESS_MARKS])
     s.bucket("outcome", F.when(verified, "verified").when(failed, "failed").otherwise("weak"))
     s.mark(failed & ~verified, REVIEW, "failed_or_environment_trajectory")
 
