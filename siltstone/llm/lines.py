@@ -21,6 +21,8 @@ _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _LONGER = re.compile(r"[^\W\d_]{2,}")
 _CJK = re.compile("[㐀-䶿一-鿿぀-ヿ가-힯]")
 _CJK_STOP = re.compile("[，。！？；、]")
+#: Separators that part entries, not clauses.
+_MARKS = (" \u00b7 ", " / ", " \u00bb ", " \u203a ", " > ", " \u2022 ", " - ", " \u2013 ", " \u2014 ")
 _NAMED = re.compile(r"\s*(?:[^\s:：]+\s?){1,4}[:：]\s+\S")
 
 
@@ -51,6 +53,30 @@ def visible(line: str) -> int:
     return len(line.encode().translate(None, _ASCII_HIDDEN)) if line.isascii() else len(_INVISIBLE.sub("", line))
 
 
+def known_share(text: str, common: frozenset[str]) -> float:
+    """Share of common words among the words of the text."""
+    words = _WORD.findall(text.lower())
+    return sum(map(common.__contains__, words)) / max(1, len(words))
+
+
+def is_entries(text: str, common: frozenset[str]) -> bool:
+    """Whether a run of text of any length is entries side by side: many separators, close to each other, and hardly a sentence stop.
+
+    A comma or semicolon also parts clauses, so entries between them must be shorter, and hold fewer common words than sentences do.
+    """
+    size = len(text)
+    marks = max(map(text.count, _MARKS))
+    points = max(text.count("; "), text.count(", ") + text.count(",\n"))
+    chinese = () if text.isascii() else tuple(map(text.count, "\u3001\uff1b\uff0c"))
+    if chinese and max(chinese) >= 4 and (max(chinese[:2]) * 14 >= size or chinese[2] * 10 >= size):
+        return len(_STOP.findall(text)) * 8 <= max(chinese)
+    if marks >= 4 and marks * 60 >= size:
+        return len(_STOP.findall(text)) * 4 <= marks
+    if points >= 4 and points * 34 >= size:
+        return len(_STOP.findall(text)) * 8 <= points and known_share(text, common) < 0.36
+    return False
+
+
 def line_kind(line: str, common: frozenset[str]) -> str:
     """``list``, ``table``, ``junk`` or ``text`` of a line by itself."""
     bare = line.strip()
@@ -61,16 +87,17 @@ def line_kind(line: str, common: frozenset[str]) -> str:
             return "table"
         if _URL.match(bare) or _LEADER.search(bare):
             return "list"
-        ands = bare.count(" & ")
-        if ands and bare.endswith("\\\\") or ands >= 2 and not _STOP.search(bare):
-            return "table"
+    ands = bare.count(" & ")
+    if ands and (size <= 240 or size / (ands + 1) < 60) and (bare.endswith("\\\\") or ands >= 2 and not _STOP.search(bare)):
+        return "table"
+    if size <= 240:
         trail = bare.count(" \u00bb ") + bare.count(" \u203a ") + bare.count(" > ") + bare.count(" \u00b7 ") + bare.count(" \u2022 ")
         if trail >= 2 or bars == 1 and size < 60:
             return "list"
-        if _PAIR.match(bare):
-            return "table"
-        if _MARK.match(line):
-            return "list"
+    if _PAIR.match(bare):
+        return "table"
+    if size <= 240 and _MARK.match(line):
+        return "list"
     if bars >= 2 and size / (bars + 1) < 60 and len(_STOP.findall(bare)) * 3 <= bars:
         return "table"
     gaps = _GAPS.findall(bare)
@@ -81,12 +108,13 @@ def line_kind(line: str, common: frozenset[str]) -> str:
                 return "table"
         elif len(gaps) * 4 >= len(words) - 1 and not (len(gaps) == 1 and (_STOP.search(bare) or size > 90)):
             return "table"
-    if size <= 240:
-        cells = max(bare.count(";"), bare.count(","))
-        if cells >= 2 and size / (cells + 1) < 24 and sum(map(str.isdigit, bare)) * 6 > size and bare[-1] not in ".!?\u3002":
-            return "table"
-        if size < 90 and cells and bare[-1].isdigit() and _INDEX.match(bare):
-            return "list"
+    cells = max(bare.count(";"), bare.count(","))
+    if cells >= 2 and size / (cells + 1) < 24 and sum(map(str.isdigit, bare)) * 6 > size and bare[-1] not in ".!?\u3002":
+        return "table"
+    if size < 90 and cells and bare[-1].isdigit() and _INDEX.match(bare):
+        return "list"
+    if size > 200 and is_entries(bare, common):
+        return "list"
     return "text"
 
 
@@ -127,6 +155,8 @@ def block_kind(lines: list[str], common: frozenset[str]) -> str:
         return "junk"
     size = visible(text)
     stops = len(_STOP.findall(text))
+    if size >= 200 and is_entries(text, common):
+        return "list"
     cjk = not text.isascii() and len(_CJK.findall(text)) * 2 > size
     if cjk:
         if len(_CJK_STOP.findall(text)) * 45 >= size:
@@ -136,6 +166,8 @@ def block_kind(lines: list[str], common: frozenset[str]) -> str:
     elif stops and size / stops < 220:
         return "prose"
     longest = max(len(x.strip()) for x in lines)
+    if not cjk and not stops and size >= 200 and known_share(text, common) < 0.12:
+        return "junk"  # words or syllables in a row, however long the lines
     if len(lines) == 1:
         return "prose" if longest >= (40 if cjk else 90) or stops or size < 30 and _END.search(text) else "list"
     if longest > (60 if cjk else 160):
@@ -145,6 +177,24 @@ def block_kind(lines: list[str], common: frozenset[str]) -> str:
     return "list"
 
 
+def stretches(lines: list[str]) -> list[list[str]]:
+    """The lines of a block, but long stretches without any sentence stop apart, so that a few sentences beside them don't decide for them."""
+    out: list[list[str]] = [[]]
+    run: list[str] = []
+    for line in [*lines, None]:
+        if line is not None and not _STOP.search(line):
+            run.append(line)
+            continue
+        if sum(map(visible, run)) >= 220:
+            out.append(run)
+        else:
+            out[0].extend(run)
+        run = []
+        if line is not None:
+            out[0].append(line)
+    return [x for x in out if x]
+
+
 def parts(text: str, common: frozenset[str]) -> dict[str, int]:
     """Visible characters of the text by kind: prose, list, table, junk."""
     total = {"prose": 0, "list": 0, "table": 0, "junk": 0}
@@ -152,8 +202,8 @@ def parts(text: str, common: frozenset[str]) -> dict[str, int]:
 
     def close() -> None:
         if block:
-            kind = block_kind(block, common)
-            total[kind] += sum(map(visible, block))
+            for lines in stretches(block):
+                total[block_kind(lines, common)] += sum(map(visible, lines))
             block.clear()
 
     for line in LINE_END.split(mended(text)):

@@ -36,6 +36,46 @@ def test_what_is_not_prose():
     ):
         assert share(text) > 0.8, text
 
+ENTRIES = {
+    "en": "the report of Morven|old index (1327)|sampling plan|the answer of the team|Tanford ledger",
+    "de": "der Bericht aus Morven|das alte Register (1327)|Prüfplan|die Antwort aus Tanford|Quelltext",
+    "fr": "le rapport de Morven|ancien registre (1327)|l'exemple de Tanford|carnet|la réponse des villes",
+    "es": "el informe de Morven|registro antiguo (1327)|la respuesta de Tanford|cuaderno|muestra",
+    "zh": "旧的索引|早期的分词器|手写的清单|公开的地图册|答案",
+}
+UNPUNCTUATED = {
+    "en": "the report was read by the committee in the north and it is clear that the answer of the team was right for that report ",
+    "de": "der Bericht und die Antwort und das Register in der Stadt und die Probe und das Blatt und der Plan zu lesen ",
+    "fr": "le rapport de la ville et le registre de la maison et les pages des cahiers et un exemple de la note sont lus ",
+    "es": "de la ciudad se sabe que un informe de la muestra le da la respuesta a des le la de un cuaderno ",
+    "zh": "旧的索引在北方重复了嘈杂的清单，而且手写的答案在审核之后修正了公开的地图册，所以早期的分词器忽略了旧的记录，",
+}
+
+
+def test_lists_on_one_long_line():
+    for language, entries in ENTRIES.items():
+        for mark in (" · ", " / ", "; ", ", ", " » ", " > ", *("、；，" if language == "zh" else ())):
+            one = mark.join(entries.split("|")) + mark
+            for size in (300, 2_000, 20_000):
+                assert share((one * (size // len(one) + 1))[:size].rsplit(mark, 1)[0]) == 1.0, (language, mark, size)
+
+
+def test_prose_on_one_long_line():
+    for language, text in UNPUNCTUATED.items():
+        for size in (300, 2_000, 20_000):
+            assert share((text * (size // len(text) + 1))[:size]) == 0.0, (language, size)
+    for text in ("However, the report, which was read in the north, is, for that team, the answer. " * 20, PROSE * 100, (PROSE * 20).replace(". ", "; ")):
+        assert share(text) == 0.0, text
+
+
+def test_sentences_beside_a_list_do_not_decide_for_it():
+    names = "\n".join(f"Morven{'abcdef'[i % 6]}: old index, Tanford" for i in range(60))
+    words = "\n".join("corpus shard ledger atlas tokenizer archive lemma footnote proof header notebook image file trace" for _ in range(20))
+    for text in (names, words, words.replace("\n", " ")):
+        assert share(PROSE + PROSE + "\n" + text) > 0.8, text
+        assert share(text + "\n" + PROSE + PROSE) > 0.8, text
+    assert share(wrap(PROSE * 3 + (PROSE * 4).replace(",", "").replace(".", ""), 72)) == 0.0
+
 
 def test_quality_query(spark):
     from siltstone.llm import quality
