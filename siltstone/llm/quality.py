@@ -33,8 +33,8 @@ STATISTICS = {
 NAMES = list(STATISTICS)
 #: Words of the table of common words that are held at most.
 MOST_COMMON = 100_000
-#: Rounds of re-estimation, and squared distances: up to ``CORE`` a document counts as prose in them, from ``FAR`` on it is an outlier.
-ROUNDS, CORE, FAR = 3, 21.0, 21.0
+#: Rounds of re-estimation, and the squared distance up to which a document counts as prose in them.
+ROUNDS, CORE = 3, 21.0
 #: Languages that have a mean of their own; every other language shares one.
 LANGUAGES = ("en", "de", "fr", "es", "zh")
 
@@ -73,7 +73,7 @@ def statistics(text: str, common: frozenset[str]) -> list[float]:
         kinds["junk"] / total,
         float(len(words)),
         float(len(cjk) * 4 > size),
-        1.0 - kinds["prose"] / total,
+        (kinds["list"] + kinds["table"] + kinds["junk"]) / total,
     ]
 
 
@@ -147,17 +147,26 @@ def distances(stats: DataFrame, models: dict[str, tuple[np.ndarray, np.ndarray]]
     return stats.mapInArrow(measure, f"{fields}, distance double, parts array<double>")
 
 
-def quality(docs: DataFrame, common_words: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``(key, language, words, not_prose, distance, <statistics>, <statistics>_part)`` of every document."""
+def common_set(common_words: DataFrame) -> frozenset[str]:
+    """The words of the table of common words, held whole."""
     listed = common_words.select(F.lower("word").alias("word")).where("word is not null").distinct().limit(MOST_COMMON + 1).collect()
     if len(listed) > MOST_COMMON:
         raise ValueError(f"more than {MOST_COMMON} common words")
-    stats = staged(text_statistics(docs, frozenset(r.word for r in listed), key, text, lang), "statistics")
+    return frozenset(r.word for r in listed)
+
+
+def quality(docs: DataFrame, common_words: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``(key, language, words, not_prose, distance, <statistics>, <statistics>_part)`` of every document."""
+    stats = staged(text_statistics(docs, common_set(common_words), key, text, lang), "statistics")
     far = distances(stats, prose_models(stats))
     values = [F.col("x")[i].alias(n) for i, n in enumerate(NAMES)] + [F.col("parts")[i].alias(f"{n}_part") for i, n in enumerate(NAMES)]
     return far.select(key, "language", "words", "not_prose", "distance", *values)
 
 
 def not_prose(measured: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Keys of outliers, confirmed by the share of their visible characters in lists, tables and junk."""
-    return measured.where((F.col("distance") > FAR) & (F.col("not_prose") > 0.5)).select(key)
+    """Keys of rows with more than half of their visible characters in lists, tables and junk.
+
+    The distance isn't asked: it depends on the other documents, and where many of
+    them are lists, a list is near.
+    """
+    return measured.where(F.col("not_prose") > 0.5).select(key)

@@ -93,3 +93,13 @@ def test_quality_query(spark):
     assert {r.doc_id for r in quality.not_prose(out).collect()} & set(range(500)) == set() and 500 in {r.doc_id for r in quality.not_prose(out).collect()}
     assert quality.quality(docs.limit(0), common).count() == 0
     assert np.isfinite([r.distance for r in found.values()]).all()
+
+
+def test_lists_are_found_whatever_the_mixture(spark):
+    from siltstone.llm import quality
+
+    rows = [(i, "\n".join(f"- item {i + j}" for j in range(60)), "en") for i in range(200)] + [(i, PROSE * (2 + i % 5), "en") for i in range(500, 550)] + [(600, "\u200b \n" * 300, "en"), (601, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    common = spark.createDataFrame([(w, "en") for w in sorted(COMMON)], "word string, lang string")
+    for measured in (quality.quality(docs, common), quality.text_statistics(docs, quality.common_set(common))):
+        assert sorted(r.doc_id for r in quality.not_prose(measured).collect()) == list(range(200))
