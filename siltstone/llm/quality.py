@@ -8,7 +8,7 @@ from operator import ne
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.lines import _CJK, _STOP, _WORD, LINE_END, parts, shown
@@ -35,6 +35,8 @@ NAMES = list(STATISTICS)
 MOST_COMMON = 100_000
 #: Rounds of re-estimation, and the squared distance up to which a document counts as prose in them.
 ROUNDS, CORE = 3, 21.0
+#: Standard deviations of a normal distribution in its median absolute deviation.
+NORMAL = 1.4826
 #: Languages that have a mean of their own; every other language shares one.
 LANGUAGES = ("en", "de", "fr", "es", "zh")
 
@@ -105,23 +107,37 @@ def prose_models(stats: DataFrame, rounds: int = ROUNDS) -> dict[str, tuple[np.n
 
     Medians and absolute deviations of all documents give a first distance; then
     mean and covariance are taken over the documents within ``CORE``, again and again.
-    Every round is one aggregation over all rows; what reaches the driver are the
-    moments of at most six languages. Each statistic keeps a least spread.
+    In each of them the start counts as much as ``len(NAMES)`` documents do, so that
+    few documents stay near it and many leave it, without a size at which that changes.
+    Every round is one aggregation over all rows, the start two; what reaches the driver
+    are the moments of at most six languages. Each statistic keeps a least spread.
     """
     d = len(NAMES)
     floor = np.diag(np.array([STATISTICS[n] for n in NAMES]) ** 2)
     x = [F.col("x")[i] for i in range(d)]
-    middle = {r.language: np.array(r[1:], float) for r in stats.groupBy("language").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(x)]).collect()}
-    models = {k: (m, np.linalg.inv(floor * 4)) for k, m in middle.items()}
+
+    def middles(values: list[Column]) -> dict[str, np.ndarray]:
+        return {r.language: np.array(r[1:], float) for r in stats.groupBy("language").agg(*[F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(values)]).collect()}
+
+    middle = middles(x)
+    if not middle:
+        return {}
+    centre = F.create_map(*[c for k, m in middle.items() for c in (F.lit(k), F.array(*map(F.lit, m.tolist())))])[F.col("language")]
+    deviation = middles([F.abs(x[i] - centre[i]) for i in range(d)])
+    start = {k: (m, np.diag((NORMAL * deviation[k]) ** 2) + floor) for k, m in middle.items()}
+    models = {k: (m, np.linalg.inv(c)) for k, (m, c) in start.items()}
     for _ in range(rounds):
         near = distances(stats, models).where(F.col("distance") <= CORE)
         moments = [F.sum(c).alias(f"s{i}") for i, c in enumerate(x)] + [F.sum(x[i] * x[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d)]
         for r in near.groupBy("language").agg(F.count("*").alias("n"), *moments).collect():
-            if r.n < 10 * d:
-                continue
-            mean = np.array([r[f"s{i}"] for i in range(d)]) / r.n
+            own = np.array([r[f"s{i}"] for i in range(d)]) / r.n
             second = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(d)] for i in range(d)]) / r.n
-            models[r.language] = (mean, np.linalg.inv(second - np.outer(mean, mean) + floor))
+            first, spread = start[r.language]
+            share = r.n / (r.n + d)
+            mean = share * own + (1 - share) * first
+            off = own - first
+            covariance = share * (second - np.outer(own, own) + floor) + (1 - share) * spread + share * (1 - share) * np.outer(off, off)
+            models[r.language] = (mean, np.linalg.inv(covariance))
     return models
 
 

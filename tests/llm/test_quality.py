@@ -103,3 +103,20 @@ def test_lists_are_found_whatever_the_mixture(spark):
     common = spark.createDataFrame([(w, "en") for w in sorted(COMMON)], "word string, lang string")
     for measured in (quality.quality(docs, common), quality.text_statistics(docs, quality.common_set(common))):
         assert sorted(r.doc_id for r in quality.not_prose(measured).collect()) == list(range(200))
+
+
+def test_models_have_no_size_at_which_they_change_in_kind(spark):
+    from siltstone.llm import quality
+
+    d = len(quality.NAMES)
+    seed = np.random.default_rng(7)
+    base = seed.normal(0, 1, (4_000, d)) * 3 + 5
+    base[:, 1] = base[:, 0] + seed.normal(0, 0.1, 4_000)  # two statistics that go together
+    rows = [("few" if i < 30 else "below" if i < 149 else "above" if i < 270 else "many", x.tolist()) for i, x in enumerate(base)]
+    models = quality.prose_models(spark.createDataFrame(rows, "language string, x array<double>"))
+    covariance = {k: np.linalg.inv(inverse) for k, (_, inverse) in models.items()}
+    for name in ("few", "below", "above", "many"):
+        assert covariance[name][0, 1] > 1.0, name
+    assert np.all(np.diag(covariance["few"])[2:] > 1.5) and np.all(np.diag(covariance["many"])[2:] > 6.0)
+    start = quality.prose_models(spark.createDataFrame(rows, "language string, x array<double>"), rounds=0)["many"][1]
+    assert np.allclose(np.diag(np.linalg.inv(start))[2:], 9 + np.array([quality.STATISTICS[n] for n in quality.NAMES])[2:] ** 2, rtol=0.2)
