@@ -6,6 +6,7 @@ import json
 import re
 from collections.abc import Iterator
 from hashlib import blake2b
+from json.decoder import scanstring
 
 import pyarrow as pa
 import regex
@@ -16,6 +17,10 @@ from siltstone.session import staged
 
 _NOT_KEPT = regex.compile(r"[^\p{L}\p{N}]+")
 _ASCII_DROPPED = bytes(i for i in range(128) if not chr(i).isalnum())
+_BLANKS = re.compile(r"[ \t\n\r]*")
+_LITERAL = re.compile("null|true|false")
+_JSON_NUMBER = re.compile(r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][-+]?[0-9]+)?")
+_END = object()
 _NUMBER = re.compile(r"(-?)(\d+)(?:\.(\d+))?(?:[eE]([+-]?\d+))?")
 #: Rows of one group are spread over so many keys.
 SALTS = 64
@@ -57,42 +62,121 @@ def digest_and_form(value: object) -> tuple[bytes, bytes]:
 
     A leaf is hashed with its kind. An array hashes its children's digests in order,
     an object the sorted digests of its fields, each of name and value. The form
-    lists the fields by name; equal forms are equal structures.
+    lists the fields by name; equal forms are equal structures. Open nodes stand on
+    a stack of their own, so depth is bounded by memory only.
     """
-    kind = type(value)
-    if kind is str:
-        form = reduced(value)
-        form = b"s%d:%b" % (len(form), form)
-    elif kind is _Number:
-        form = b"n%d:%b" % (len(value), value)
-    elif kind is dict:
-        digests, forms = [], []
-        for name in sorted(value):
-            child, inner = digest_and_form(value[name])
-            label = name.encode("utf-8", "surrogatepass")
-            digests.append(blake2b(b"f%d:%b" % (len(label), label) + child, digest_size=16).digest())
-            forms.append(b"%d:%b" % (len(label), label) + inner)
-        digests.sort()
-        return blake2b(b"o" + b"".join(digests), digest_size=16).digest(), b"o%d:" % len(forms) + b"".join(forms)
-    elif kind is list:
-        parts = [digest_and_form(x) for x in value]
-        return blake2b(b"a" + b"".join(d for d, _ in parts), digest_size=16).digest(), b"a%d:" % len(parts) + b"".join(f for _, f in parts)
-    else:
-        form = b"z" if value is None else b"t" if value else b"u"
-    return blake2b(form, digest_size=16).digest(), form
+    forms: list[bytes] = []
+    open_nodes: list[tuple[object, Iterator, list[bytes]]] = []
+    labels: list[bytes] = []
+    while True:
+        kind, digest = type(value), None
+        if kind is dict:
+            forms.append(b"o%d:" % len(value))
+            open_nodes.append((value, iter(sorted(value)), []))
+        elif kind is list:
+            forms.append(b"a%d:" % len(value))
+            open_nodes.append((None, iter(value), []))
+        else:
+            if kind is str:
+                form = reduced(value)
+                form = b"s%d:%b" % (len(form), form)
+            elif kind is _Number:
+                form = b"n%d:%b" % (len(value), value)
+            else:
+                form = b"z" if value is None else b"t" if value else b"u"
+            forms.append(form)
+            digest = blake2b(form, digest_size=16).digest()
+        while open_nodes:
+            fields, rest, digests = open_nodes[-1]
+            if digest is not None:
+                digests.append(digest if fields is None else blake2b(b"f%b" % labels.pop() + digest, digest_size=16).digest())
+            child = next(rest, _END)
+            if child is not _END:
+                if fields is not None:
+                    name = child.encode("utf-8", "surrogatepass")
+                    labels.append(b"%d:%b" % (len(name), name))
+                    forms.append(labels[-1])
+                    child = fields[child]
+                value = child
+                break
+            open_nodes.pop()
+            if fields is not None:
+                digests.sort()
+            digest = blake2b((b"a" if fields is None else b"o") + b"".join(digests), digest_size=16).digest()
+        else:
+            return digest, b"".join(forms)
+
+
+def parse_deep(text: str) -> object:
+    """What ``_DECODE`` gives, at any depth: the open values stand on a stack."""
+
+    def name_at(at: int) -> tuple[str, int]:
+        if text[at : at + 1] != '"':
+            raise ValueError(at)
+        name, at = scanstring(text, at + 1, True)
+        at = _BLANKS.match(text, at).end()
+        if text[at : at + 1] != ":":
+            raise ValueError(at)
+        return name, _BLANKS.match(text, at + 1).end()
+
+    open_values: list[tuple[dict | list, str | None]] = []
+    at = _BLANKS.match(text).end()
+    while True:
+        first = text[at : at + 1]
+        if first == "{" or first == "[":
+            value = {} if first == "{" else []
+            at = _BLANKS.match(text, at + 1).end()
+            if text[at : at + 1] != ("}" if first == "{" else "]"):
+                name, at = name_at(at) if first == "{" else (None, at)
+                open_values.append((value, name))
+                continue
+            at += 1
+        elif first == '"':
+            value, at = scanstring(text, at + 1, True)
+        elif found := _LITERAL.match(text, at):
+            value, at = {"null": None, "true": True, "false": False}[found[0]], found.end()
+        elif found := _JSON_NUMBER.match(text, at):
+            value, at = _number(found[0]), found.end()
+        else:
+            raise ValueError(at)
+        while open_values:
+            holder, name = open_values[-1]
+            if name is None:
+                holder.append(value)
+            else:
+                holder[name] = value
+            at = _BLANKS.match(text, at).end()
+            after = text[at : at + 1]
+            if after == ",":
+                at = _BLANKS.match(text, at + 1).end()
+                if name is not None:
+                    name, at = name_at(at)
+                    open_values[-1] = holder, name
+                break
+            if after != ("]" if name is None else "}"):
+                raise ValueError(at)
+            value, _ = open_values.pop()
+            at += 1
+        else:
+            if _BLANKS.match(text, at).end() != len(text):
+                raise ValueError(at)
+            return value
 
 
 def parse_object(payload: str | None) -> dict | None:
     """The payload as an object; None if it is null, no valid JSON, or another kind of value.
 
-    Of a field named twice the last counts. NaN and infinities are not valid. Values
-    nested deeper than the parser follows count as not valid.
+    Of a field named twice the last counts. NaN and infinities are not valid. What is
+    nested deeper than the decoder follows is parsed with a stack.
     """
     if not payload or "{" not in payload:
         return None
     try:
-        value = _DECODE(payload)
-    except (ValueError, RecursionError):
+        try:
+            value = _DECODE(payload)
+        except RecursionError:
+            value = parse_deep(payload)
+    except ValueError:
         return None
     return value if type(value) is dict else None
 
@@ -105,10 +189,7 @@ def record_forms(records: DataFrame, key: str = "record_id", payload: str = "pay
             at, digests, whole = [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
                 if (value := parse_object(text)) is not None:
-                    try:
-                        digest, form = digest_and_form(value)
-                    except RecursionError:
-                        continue
+                    digest, form = digest_and_form(value)
                     at.append(k)
                     digests.append(digest)
                     whole.append(form)

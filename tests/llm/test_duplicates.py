@@ -163,3 +163,33 @@ def test_collisions_are_told_apart(spark):
         assert sorted(map(tuple, groups.collect())) == [(1, 2), (2, 1)] and [tuple(r) for r in members.collect()] == [(1, 3)]
     finally:
         forms.record_forms = real
+
+
+def test_records_nested_to_any_depth(spark):
+    from siltstone.llm import forms
+
+    def nested(depth, leaf, blank=""):
+        return ('{"a":' + blank + "[1,") * depth + leaf + "]}" * depth
+
+    rows = []
+    for n, depth in enumerate((3, 900, 3_000, 60_000)):
+        rows += [(10 * n + 1, nested(depth, '"X y"')), (10 * n + 2, nested(depth, '"xY!"', " ")), (10 * n + 3, nested(depth, '"z"')), (10 * n + 4, nested(depth, '"z"')[:-1])]
+    groups, members = forms.form_groups(spark.createDataFrame(rows, "record_id long, payload string"))
+    assert sorted(map(tuple, members.collect())) == [(10 * n + 1, 10 * n + 2) for n in range(4)]
+    assert sorted(map(tuple, groups.collect())) == sorted([(10 * n + 1, 2) for n in range(4)] + [(10 * n + 3, 1) for n in range(4)])
+
+
+def test_both_parsers_agree():
+    from siltstone.llm import forms
+
+    good = ['{"a": [1, -0.50, 2e3, null, true, false, "\\u00e9\\n"], "b": {}, "c": [], "a": {"x": [[]]}}', ' \n{ "q" : "w" , "e" : [ ] } ', '{"a":1E+2}']
+    bad = ["{", "{}x", '{"a":}', '{"a":[1,]}', '{"a":1,}', "{'a':1}", '{"a":01}', '{"a":NaN}', '{"a":-Infinity}', '{"a" 1}', '{"a":[1 2]}', '{"a":"\n"}', '{"a":-}', "{]", '{"a":[}']
+    for text in good:
+        assert forms.parse_deep(text) == forms._DECODE(text), text
+    for text in bad:
+        for parse in (forms.parse_deep, forms._DECODE):
+            try:
+                parse(text)
+            except ValueError:
+                continue
+            raise AssertionError(text)
