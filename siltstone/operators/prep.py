@@ -140,8 +140,8 @@ def pack_samples(samples: DataFrame, capacity: int, shards: int = 1, allow_overl
     """``(shard, bin, tokens, targets, cu_seqlens, source_ids)``: samples put into sequences of ``capacity``, longest first, best fit.
 
     The bins are planned per shard on keys and lengths alone; tokens are joined to the
-    plan afterwards. A sample that is longer than the capacity is left out, or takes a
-    sequence of its own. Without targets the tokens are their own.
+    plan afterwards. A sample that is longer than the capacity is left to ``unpacked_samples``,
+    or takes a sequence of its own. Without targets the tokens are their own.
     """
     sized = samples.select(F.col(key).cast("string").alias("k"), F.size(tokens).alias("n")).withColumn("shard", F.pmod(F.xxhash64("k"), F.lit(shards)).cast("int"))
     fitting = sized.where("n > 0") if allow_overlength else sized.where(F.col("n").between(1, capacity))
@@ -163,6 +163,12 @@ def pack_samples(samples: DataFrame, capacity: int, shards: int = 1, allow_overl
     return bins.select("shard", "bin", F.flatten(F.transform("s", lambda x: x["t"])).alias("tokens"), F.flatten(F.transform("s", lambda x: x["y"])).alias("targets"), ends.alias("cu_seqlens"), F.transform("s", lambda x: x["k"]).alias("source_ids"))
 
 
+def unpacked_samples(samples: DataFrame, capacity: int, key: str = "source_id", tokens: str = "tokens") -> DataFrame:
+    """``(key, length)`` of the samples that ``pack_samples`` puts into no sequence: longer than the capacity, or without tokens."""
+    sized = samples.select(key, F.when(F.col(tokens).isNull(), 0).otherwise(F.size(tokens)).alias("length"))
+    return sized.where(~F.col("length").between(1, capacity))
+
+
 def sample_errors(tokens: Column, targets: Column | None = None, ignore: int = -100) -> Column:
     """What is wrong with a tokenised sample; null if nothing is."""
     wrong = F.when(F.coalesce(F.size(tokens), F.lit(0)) < 1, "empty")

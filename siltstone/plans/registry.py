@@ -223,14 +223,30 @@ def microshards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.microshards(_usable(spark, sf_dir).withColumnRenamed("candidate_id", "row"), 100_000, tokens="n_tokens")
 
 
+PACKED = 8192
+
+
+def _sample_bytes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Each sample once, and the bytes of those that have a text."""
+    samples = table(spark, sf_dir, "samples").dropDuplicates(["sample_id"])
+    return samples, sequences.encode(samples, ["text"], key="sample_id").select("sample_id", "ids")
+
+
 @query()
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples as bytes packed into sequences of 8,192, on eight shards."""
-    ids = sequences.encode(table(spark, sf_dir, "samples").dropDuplicates(["sample_id"]), ["text"], key="sample_id")
-    packed = prep.pack_samples(ids.select("sample_id", "ids"), 8192, 8, key="sample_id", tokens="ids")
+    packed = prep.pack_samples(_sample_bytes(spark, sf_dir)[1], PACKED, 8, key="sample_id", tokens="ids")
     return packed.select("shard", "bin", F.size("tokens").alias("tokens"), F.size("source_ids").alias("samples"))
 
 
+@query()
+def packing_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples that ``packing`` puts into no sequence, with their length: longer than 8,192 bytes, or empty."""
+    samples, ids = _sample_bytes(spark, sf_dir)
+    empty = samples.where("coalesce(text, '') = ''").select("sample_id", F.lit(0).alias("length"))
+    return prep.unpacked_samples(ids, PACKED, "sample_id", "ids").unionByName(empty)
+
+
 @query("""WITH p AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position, count(*) OVER () AS n FROM documents)
 SELECT doc_id, CASE WHEN position < round_even(0.9 * n, 0) THEN 'train' WHEN position < round_even(0.95 * n, 0) THEN 'valid' ELSE 'test' END AS split FROM p""")
 def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:

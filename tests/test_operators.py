@@ -133,3 +133,14 @@ def test_stream(spark, tmp_path):
     running.processAllAvailable()
     running.stop()
     assert spark.table("seen").count() == 2
+
+
+def test_samples_that_are_not_packed(spark, tmp_path):
+    from siltstone.plans import registry
+
+    samples = spark.createDataFrame([("a", [1, 2]), ("long", [0] * 9), ("none", []), ("null", None)], "source_id string, tokens array<int>")
+    assert sorted(map(tuple, prep.unpacked_samples(samples, 5).collect())) == [("long", 9), ("none", 0), ("null", 0)]
+    rows = [(1, "a" * 8_192), (2, "a" * 8_193), (2, "a" * 8_193), (3, ""), (4, None), (5, "\u00e9" * 5_000)]
+    spark.createDataFrame(rows, "sample_id long, text string").write.parquet(f"{tmp_path}/samples.parquet")
+    assert sorted(map(tuple, registry.QUERIES["packing_unpacked"](spark, str(tmp_path)).collect())) == [(2, 8_193), (3, 0), (4, 0), (5, 10_000)]
+    assert [r.samples for r in registry.QUERIES["packing"](spark, str(tmp_path)).collect()] == [1]
