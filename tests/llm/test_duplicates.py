@@ -67,20 +67,39 @@ def test_filters_keep_similar_pairs():
     from siltstone.llm import neardup
 
     rng = np.random.default_rng(0)
-    level = (neardup.slot(np.arange(2000, dtype=np.uint32)) % 40).astype(np.uint8)
+    value = np.unique(rng.integers(0, 1 << 40, 2000).astype(np.uint64))
+    level_of = rng.integers(0, 80, len(value)).astype(np.uint8)
     for _ in range(300):
         n = int(rng.integers(5, 400))
-        a = np.sort(rng.choice(2000, n, replace=False)).astype(np.uint32)
-        b = np.sort(np.unique(np.concatenate([a[rng.random(n) > 0.15], rng.choice(2000, 1 + n // 9).astype(np.uint32)])))
-        share = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
-        if share >= 0.6:
-            for x, y in zip(neardup.orders(a, level[a], 0.6), neardup.orders(b, level[b], 0.6)):
-                assert np.intersect1d(a[x], b[y]).size
-            assert neardup.similarity(a, b, 0.6) == share
-            p, q = (neardup.parity_sketch(s)[None] for s in (a, b))
-            size = min(p.shape[1], q.shape[1])
-            apart = np.bitwise_count(neardup.folded(p, size) ^ neardup.folded(q, size)).sum()
-            assert (len(a) + len(b) - apart) / 2 >= len(np.intersect1d(a, b))
+        a = np.sort(rng.choice(len(value), n, replace=False))
+        b = np.unique(np.concatenate([a[rng.random(n) > 0.15], rng.choice(len(value), 1 + n // 9)]))
+        common = len(np.intersect1d(a, b))
+        sizes, h, level = np.array([len(a), len(b)]), value[np.concatenate([a, b])], level_of[np.concatenate([a, b])]
+        assert neardup.shared([value[a]], [value[b]], 40).tolist() == [common]
+        if common >= 0.6 * len(np.union1d(a, b)):
+            for k in range(3):
+                row, u, rank, place = neardup.prefixes(h, level, sizes, 0.6, k)
+                assert np.intersect1d(u[row == 0], u[row == 1]).size
+                assert (rank >> neardup.ORDERS[k][0] == level_of[np.searchsorted(value, u)] >> neardup.ORDERS[k][0]).all()
+            for hot in (20_000, 3):
+                row, u, _ = neardup.prefix_keys(h, level, sizes, np.array([7, 99]), 0.6, hot)
+                assert np.intersect1d(u[row == 0], u[row == 1]).size or (level_of[np.intersect1d(a, b)] == 0).any()
+            width = neardup.sketch_bytes(sizes)
+            data = np.frombuffer(neardup.parity_sketches(h, sizes), np.uint8)
+            p, q = (neardup.folded(x[None], width.min()) for x in (data[: width[0]], data[width[0] :]))
+            assert (len(a) + len(b) - np.bitwise_count(p ^ q).sum()) / 2 >= common
+
+
+def test_shingles_are_packed_whole():
+    from siltstone.llm import neardup
+
+    h = np.random.default_rng(1).integers(0, 1 << 40, 1000).astype(np.uint64)
+    assert (neardup.unpacked(neardup.packed(h)) == h).all()
+    for _, *factors in neardup.ORDERS:
+        assert (neardup.unmixed(neardup.mixed(h, *factors), *factors) == h).all()
+    digests, counts, whole = neardup.shingle_hashes(["a b c a b c", None, "", "x", "A, B; C a-b_c"], 2, 3)
+    assert [d is not None for d in digests] == [True, False, False, False, True] and digests[0] == digests[4]
+    assert counts.tolist() == [3, 0, 0, 0, 3] and (whole[:3] == whole[3:]).all()
 
 
 FORMS = [
