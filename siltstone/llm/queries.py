@@ -118,8 +118,9 @@ def p7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of 200 characters or more and without a path that are not natural prose."""
-    docs = table(spark, sf_dir, "documents").where("path is null and length(text) >= 200")
-    return quality.not_prose(quality.text_statistics(docs, quality.common_set(table(spark, sf_dir, "common_words")))).distinct()
+    docs = table(spark, sf_dir, "documents").withColumn("_asked", F.expr("path is null and length(text) >= 200"))
+    far = quality.measured(docs, table(spark, sf_dir, "common_words"), keep=("_asked",))
+    return quality.not_prose(far.where("_asked")).distinct()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

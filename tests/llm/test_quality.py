@@ -1,14 +1,18 @@
 import numpy as np
 
-from siltstone.llm.lines import parts
+from siltstone.llm import quality
 
-COMMON = frozenset("the of and to a in is that it was for on by with le la les de des et un une der die das und in 的 了 在 和 是".split())
+COMMON = frozenset("the of and to a in is that it was for on by with le la les de des et un une der die das und in 的 了 在 和 是 que se del".split())
 PROSE = "The report was read by the committee in the north, and it is clear that the answer of the team was right. "
+SUBJECTS = ["the report", "the team of Morven", "an answer", "the old index", "a committee", "the plan for the city", "one reader", "the sample"]
+ACTS = ["was read by", "is older than", "differs from", "was sent to", "depends on", "improves", "counted 12 rows of", "cannot replace"]
+ENDS = ["in the north", "after the review", "with a small margin", "on the first day", "and it was clear to all", "by the end of the year"]
 
 
-def share(text):
-    found = parts(text, COMMON)
-    return 1 - found["prose"] / max(1, sum(found.values()))
+def sentences(seed, n, stop=". "):
+    rng = np.random.default_rng(seed)
+    pick = lambda x: x[int(rng.integers(len(x)))]
+    return "".join(f"{pick(SUBJECTS)} {pick(ACTS)} {pick(SUBJECTS)} {pick(ENDS)}, and {pick(SUBJECTS)} {pick(ACTS)} {pick(SUBJECTS)}{stop}".capitalize() for _ in range(n))
 
 
 def wrap(text, width):
@@ -22,20 +26,6 @@ def wrap(text, width):
     return "\n".join([*out, line])
 
 
-def test_prose_however_laid_out():
-    for text in (PROSE * 5, wrap(PROSE * 5, 40), wrap(PROSE * 5, 72), PROSE.upper() * 4, (PROSE * 4).replace(",", "").replace(".", ""), "\n\n".join([PROSE] * 6), PROSE.replace(" ", "  ") * 4, "实际上，完整的菜谱在北方重复了嘈杂的索引。\n" * 9):
-        assert share(text) < 0.2, text
-
-
-def test_what_is_not_prose():
-    cells = "\n".join(f"{i}\tname{i}\t{i * 7}.5" for i in range(30))
-    for text in (
-        "\n".join(f"- item of the list {i}" for i in range(20)), "\n".join(f"{i}. entry" for i in range(20)), cells, cells.replace("\t", " | "), cells.replace("\t", ","), cells.replace("\t", " & ").replace("\n", " \\\\\n"),
-        "\n".join(f"Chapter {i} ........ {i * 9}" for i in range(20)), "\n".join(f"https://a.example/{i}" for i in range(9)), "\n".join("qW3" * 24 for _ in range(9)), "%{·'s^not [l·\\r:,h<ther ::il%^_r1fi,d^da\\=sl[¤c{rd r<f" * 6,
-        "\n".join(f"the field diary of {'Ab' * (i % 5 + 1)}{i}" for i in range(30)), "二、旧的索引\n三、早期的分词器\n" * 9, "Home » News » Here\n" * 9,
-    ):
-        assert share(text) > 0.8, text
-
 ENTRIES = {
     "en": "the report of Morven|old index (1327)|sampling plan|the answer of the team|Tanford ledger",
     "de": "der Bericht aus Morven|das alte Register (1327)|Prüfplan|die Antwort aus Tanford|Quelltext",
@@ -43,80 +33,81 @@ ENTRIES = {
     "es": "el informe de Morven|registro antiguo (1327)|la respuesta de Tanford|cuaderno|muestra",
     "zh": "旧的索引|早期的分词器|手写的清单|公开的地图册|答案",
 }
-UNPUNCTUATED = {
-    "en": "the report was read by the committee in the north and it is clear that the answer of the team was right for that report ",
-    "de": "der Bericht und die Antwort und das Register in der Stadt und die Probe und das Blatt und der Plan zu lesen ",
-    "fr": "le rapport de la ville et le registre de la maison et les pages des cahiers et un exemple de la note sont lus ",
-    "es": "de la ciudad se sabe que un informe de la muestra le da la respuesta a des le la de un cuaderno ",
-    "zh": "旧的索引在北方重复了嘈杂的清单，而且手写的答案在审核之后修正了公开的地图册，所以早期的分词器忽略了旧的记录，",
-}
-
-
-def test_lists_on_one_long_line():
-    for language, entries in ENTRIES.items():
-        for mark in (" · ", " / ", "; ", ", ", " » ", " > ", *("、；，" if language == "zh" else ())):
-            one = mark.join(entries.split("|")) + mark
-            for size in (300, 2_000, 20_000):
-                assert share((one * (size // len(one) + 1))[:size].rsplit(mark, 1)[0]) == 1.0, (language, mark, size)
-
-
-def test_prose_on_one_long_line():
-    for language, text in UNPUNCTUATED.items():
-        for size in (300, 2_000, 20_000):
-            assert share((text * (size // len(text) + 1))[:size]) == 0.0, (language, size)
-    for text in ("However, the report, which was read in the north, is, for that team, the answer. " * 20, PROSE * 100, (PROSE * 20).replace(". ", "; ")):
-        assert share(text) == 0.0, text
-
 
-def test_sentences_beside_a_list_do_not_decide_for_it():
-    names = "\n".join(f"Morven{'abcdef'[i % 6]}: old index, Tanford" for i in range(60))
-    words = "\n".join("corpus shard ledger atlas tokenizer archive lemma footnote proof header notebook image file trace" for _ in range(20))
-    for text in (names, words, words.replace("\n", " ")):
-        assert share(PROSE + PROSE + "\n" + text) > 0.8, text
-        assert share(text + "\n" + PROSE + PROSE) > 0.8, text
-    assert share(wrap(PROSE * 3 + (PROSE * 4).replace(",", "").replace(".", ""), 72)) == 0.0
+def not_prose_of(spark, texts, lang="en"):
+    """Numbers of the texts found beside a corpus of prose in several layouts."""
+    layouts = (str, str.upper, str.lower, lambda t: wrap(t, 40), lambda t: wrap(t, 72), lambda t: t.replace(". ", ".\n"), lambda t: t.replace(". ", " ").replace(",", ""), lambda t: "> " + wrap(t, 60).replace("\n", "\n> "))
+    rows = [(k, t, lang, 1.0) for k, t in enumerate(texts)] + [(10_000 + i, layouts[i % len(layouts)](sentences(i, 4 + i % 30)), lang, 1.0) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, distance double").repartition(3)
+    common = spark.createDataFrame([(w, "en") for w in sorted(COMMON)] + [(None, "en")], "word string, lang string")
+    far = quality.measured(docs.drop("distance"), common)
+    return {r.doc_id for r in quality.not_prose(far).collect()}, docs, common
+
+
+def test_outliers_are_what_is_not_prose(spark):
+    cells = "\n".join(f"{i}\tname{i}\t{i * 7}.5" for i in range(60))
+    wanted = [
+        "\n".join(f"- item {'abcdef'[i % 6]} of Morven {i}" for i in range(40)), cells, cells.replace("\t", " | "), cells.replace("\t", ","), cells.replace("\t", " & ").replace("\n", " \\\\\n"),
+        "\n".join(f"Chapter {i} ........ {i * 9}" for i in range(40)), "\n".join(f"https://a.example/{i}" for i in range(30)), "\n".join("qW3" * 24 for _ in range(9)), "%{·'s^not [l·\\r:,h<ther ::il%^_r1fi,d^da\\=sl[¤c{rd r<f" * 9,
+        "Home » News » Here\n" * 30, " · ".join(["old index", "sampling plan", "Tanford ledger", "notebook (1327)"] * 60), "corpus shard ledger atlas tokenizer archive lemma footnote proof header\n" * 20,
+        sentences(1, 4) + "\n" + cells * 3, cells * 3 + "\n" + sentences(2, 4), "7 19 2283 1 90\n" * 40,
+    ]
+    prose = [PROSE * 5, wrap(sentences(3, 9), 50), sentences(4, 9).upper(), sentences(5, 12, " ").replace(",", ""), "\n\n".join(sentences(k, 2) for k in range(9)), sentences(6, 400), sentences(7, 9).replace(" ", "  "), sentences(8, 40) + "\n" + cells[:300], "", None, " \n\t"]
+    found, _, _ = not_prose_of(spark, wanted + prose)
+    assert found & set(range(10_000)) == set(range(len(wanted)))
+    assert len(found) == len(wanted)
+
+
+def test_lists_in_every_language(spark):
+    rows, wanted = [], set()
+    rng = np.random.default_rng(5)
+    for at, (language, entries) in enumerate(ENTRIES.items()):
+        own = entries.split("|")
+        for k in range(60):
+            stop = "。" if language == "zh" else ". "
+            glue = "" if language == "zh" else " "
+            rows.append((1000 * at + k, "".join(glue.join(own[int(x)].split(" (")[0] for x in rng.integers(0, len(own), 4)) + ("，" if language == "zh" else " de la ") + own[0] + stop for _ in range(20)), language))
+        rows.append((1000 * at + 500, "\n".join(f"{k}) {own[k % len(own)]}" for k in range(60)), language))
+        wanted.add(1000 * at + 500)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    common = spark.createDataFrame([(w, "en") for w in sorted(COMMON)], "word string, lang string")
+    assert {r.doc_id for r in quality.not_prose(quality.measured(docs, common)).collect()} == wanted
 
 
 def test_quality_query(spark):
-    from siltstone.llm import quality
-
-    rows = [(i, PROSE * (2 + i % 5) + f"number {i} of the list.", "EN") for i in range(200)] + [(500, "\n".join(f"- item {i}" for i in range(60)), "en"), (501, None, None), (502, "", "xx"), (503, "word", "en"), (504, PROSE * 3000, "en"), (505, "\x00​ " * 40, "en")]
-    docs = spark.createDataFrame([(i, t, lang, 0.0) for i, t, lang in rows], "doc_id long, text string, lang string, distance double")
-    common = spark.createDataFrame([(w, "en") for w in sorted(COMMON)], "word string, lang string")
-    out = quality.quality(docs, common)
-    found = {r.doc_id: r for r in out.collect()}
-    assert set(found) == {i for i, _, _ in rows}
-    for r in found.values():
-        assert abs(sum(r[f"{n}_part"] for n in quality.NAMES) - r.distance) <= 1e-6 * max(1, abs(r.distance))
-    assert found[500].list_share == 1.0 and found[500].list_share_part == max(found[500][f"{n}_part"] for n in quality.NAMES)
-    assert found[501].words == 0 and found[504].words > 60_000
-    assert {r.doc_id for r in quality.not_prose(out).collect()} & set(range(500)) == set() and 500 in {r.doc_id for r in quality.not_prose(out).collect()}
+    cells = "\n".join(f"{i}\tname{i}\t{i * 7}.5" for i in range(60))
+    texts = [cells, None, "", "word", PROSE * 3000, "\x00\u200b " * 40]
+    found, docs, common = not_prose_of(spark, texts)
+    out = {r.doc_id: r for r in quality.quality(docs, common).collect()}
+    assert len(out) == docs.count() and found & {0, 1, 2, 4, 5} == {0}
+    for r in out.values():
+        assert abs(sum(r[f"{n}_part"] for n in quality.NAMES) - r.distance) <= 1e-6 * max(1, abs(r.distance)) and np.isfinite(r.distance)
+    assert out[0].distance > 10 * out[4].distance and out[0].outlying == 1.0
+    assert out[1].words == 0 and out[4].words == 22 * 3000 and 0.9 < out[4].mean_word_length / (sum(map(len, PROSE.replace(",", "").replace(".", "").split())) / 22) < 1.1
     assert quality.quality(docs.limit(0), common).count() == 0
-    assert np.isfinite([r.distance for r in found.values()]).all()
 
 
-def test_lists_are_found_whatever_the_mixture(spark):
-    from siltstone.llm import quality
-
-    rows = [(i, "\n".join(f"- item {i + j}" for j in range(60)), "en") for i in range(200)] + [(i, PROSE * (2 + i % 5), "en") for i in range(500, 550)] + [(600, "\u200b \n" * 300, "en"), (601, None, "en")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    common = spark.createDataFrame([(w, "en") for w in sorted(COMMON)], "word string, lang string")
-    for measured in (quality.quality(docs, common), quality.text_statistics(docs, quality.common_set(common))):
-        assert sorted(r.doc_id for r in quality.not_prose(measured).collect()) == list(range(200))
+def test_counts_of_a_passage():
+    chinese, counts = quality.passage_counts(["1. The Old ledger, Morven", "is read. Is it?"], COMMON)
+    assert not chinese and dict(zip(quality.COUNTS, counts)) == {"visible": 33, "words": 8, "letters": 28, "digits": 1, "common": 4, "distinct": 7, "kinds": 3, "stops": 2, "commas": 1, "lines": 2, "punctuated": 1, "tokens": 9}
+    assert quality.passage_counts(["旧的索引，在北方。"], COMMON)[0]
+    long = sentences(9, 300)
+    assert "".join("".join(p) for p in quality.passages(long)).replace(" ", "") == long.replace(" ", "")
+    assert quality.passages(" \n\n") == [] and abs(quality.quantile(0.99, 10) - 23.209) < 0.05
 
 
 def test_models_have_no_size_at_which_they_change_in_kind(spark):
-    from siltstone.llm import quality
-
-    d = len(quality.NAMES)
     seed = np.random.default_rng(7)
-    base = seed.normal(0, 1, (4_000, d)) * 3 + 5
-    base[:, 1] = base[:, 0] + seed.normal(0, 0.1, 4_000)  # two statistics that go together
-    rows = [("few" if i < 30 else "below" if i < 149 else "above" if i < 270 else "many", x.tolist()) for i, x in enumerate(base)]
-    models = quality.prose_models(spark.createDataFrame(rows, "language string, x array<double>"))
-    covariance = {k: np.linalg.inv(inverse) for k, (_, inverse) in models.items()}
-    for name in ("few", "below", "above", "many"):
-        assert covariance[name][0, 1] > 1.0, name
-    assert np.all(np.diag(covariance["few"])[2:] > 1.5) and np.all(np.diag(covariance["many"])[2:] > 6.0)
-    start = quality.prose_models(spark.createDataFrame(rows, "language string, x array<double>"), rounds=0)["many"][1]
-    assert np.allclose(np.diag(np.linalg.inv(start))[2:], 9 + np.array([quality.STATISTICS[n] for n in quality.NAMES])[2:] ** 2, rtol=0.2)
+    n = len(quality.COUNTS)
+    base = np.array([200, 40, 160, 10, 15, 30, 8, 2, 3, 4, 2, 40]) + seed.integers(0, 6, (4_000, n))
+    base[:, 8] = base[:, 7] * 2  # two statistics that go together
+    rows = [("few" if i < 12 else "some" if i < 150 else "many", bytearray(x.astype(np.float32).tobytes())) for i, x in enumerate(base)]
+    stats = spark.createDataFrame(rows, "language string, counts binary")
+    at = [quality.NAMES.index(x) for x in ("sentence_stops", "commas")]
+    covariance = {k: np.linalg.inv(inverse) for k, (_, inverse) in quality.prose_models(stats).items()}
+    shared = [covariance[k][at[0], at[1]] for k in ("few", "some", "many")]
+    assert 0 < shared[0] < shared[1] < shared[2] * 1.2
+    start = quality.starts(stats)
+    assert set(start) == {"", "few", "some", "many"}
+    x = quality.statistics(base[150:])
+    assert np.allclose(start["many"][0], np.median(x, 0), atol=0.011) and np.allclose(start["many"][1], np.median(abs(x - np.median(x, 0)), 0), atol=0.021)
