@@ -111,6 +111,18 @@ def p6_unused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(staged(_packed(spark, sf_dir), "packed"), capacities(spark, sf_dir))
 
 
+def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences and unused space of each capacity and class."""
+    return packing.packing_report(staged(_packed(spark, sf_dir), "packed"), capacities(spark, sf_dir), by_class=True)
+
+
+def p6_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each capacity the documents placed, and what must not occur: overfull sequences, needless splits, lost tokens."""
+    sizes = staged(tokens.content_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens"), "sizes")
+    room = capacities(spark, sf_dir)
+    return packing.packing_faults(staged(packing.pack(sizes, room), "packed"), sizes, room)
+
+
 def p7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics of every document, its distance from prose, and what each statistic adds."""
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
@@ -137,6 +149,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p5_ids": p5_ids,
     "p6_pack": p6_pack,
     "p6_unused": p6_unused,
+    "p6_classes": p6_classes,
+    "p6_faults": p6_faults,
     "p7_found": p7_found,
     "p7_quality": p7_quality,
 }
@@ -182,4 +196,7 @@ SELECT mix_id, source, share, wanted, CAST(available AS BIGINT) AS available, ma
        coalesce(tokens, 0)::DOUBLE / CAST(sum(coalesce(tokens, 0)) OVER (PARTITION BY mix_id) AS DOUBLE) AS actual_share
 FROM plan LEFT JOIN got USING (mix_id, source)""",
     "p1_mix": _MIX_SQL + "SELECT mix_id, source, candidate_id, copies, n_tokens FROM chosen",
+    "p6_faults": """
+SELECT DISTINCT bucket, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS split, CAST(0 AS BIGINT) AS lost
+FROM pack_capacities WHERE sequence_length > 0""",
 }

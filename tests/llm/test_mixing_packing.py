@@ -59,20 +59,29 @@ def test_mix_of_nothing(spark):
 
 
 def test_harmonic_bins():
-    from siltstone.llm.packing import harmonic_bins
+    from siltstone.llm.packing import harmonic_bins, length_classes
 
     rng = np.random.default_rng(2)
-    for capacity, n in ((10, 0), (10, 50), (1024, 3000)):
+    for capacity, n in ((10, 0), (10, 50), (1024, 3000), (16384, 20_000)):
         sizes = np.minimum(capacity, rng.geometric(3 / capacity, n))
-        bins, left = harmonic_bins(sizes, capacity)
+        bins, left, opened = harmonic_bins(sizes, capacity)
         used = np.bincount(bins, sizes, minlength=len(left)) if n else np.zeros(0)
         assert (used + left == capacity).all() and (left >= 0).all()
+        if n:
+            kind, bound = length_classes(sizes, capacity)
+            assert (bound >= sizes).all() and (capacity // bound == kind).all()
+            # bins are opened by a fixed number of items of a part; of each part at most one by fewer
+            first = [(bound[bins == b].max(), int((bound[bins == b] == bound[bins == b].max()).sum()), k) for b, k in enumerate(opened.tolist())] if n <= 3000 else []
+            short = [u for u, m, k in first if m != k]
+            assert len(short) == len(set(short)) and all(m <= k for _, m, k in first)
         if n > 100:
-            assert left.sum() <= 0.02 * sizes.sum()
+            assert left.sum() <= 0.03 * sizes.sum()
+    bins, left, _ = harmonic_bins(np.full(1000, 300), 1000)
+    assert np.bincount(bins).tolist() == [3] * 333 + [1]
 
 
 def test_pack(spark):
-    from siltstone.llm.packing import pack, packing_report
+    from siltstone.llm.packing import pack, packing_faults, packing_report
 
     sizes = [(i, int(n), "x") for i, n in enumerate(np.random.default_rng(5).integers(0, 300, 400))] + [(1000, 2500, "x"), (1001, None, "x"), (1002, 200, "x"), (1002, 10, "x"), (None, 5, "x")]
     packed = pack(spark.createDataFrame(sizes, "doc_id long, n_tokens long, sequence string"), {"s": 100, "l": 1000}, shard_docs=90)
@@ -93,4 +102,5 @@ def test_pack(spark):
             assert sum(r.tokens for r in b) + b[0].unused == capacity and len({r.unused for r in b}) == 1
     (long,) = [r for r in packing_report(packed, {"s": 100, "l": 1000}).collect() if r.bucket == "l"]
     assert long.sequences <= 1.1 * long.least_sequences
+    assert sorted(map(tuple, packing_faults(packed, spark.createDataFrame(sizes, "doc_id long, n_tokens long, x string"), {"s": 100, "l": 1000}).collect())) == [(b, 403, 0, 0, 0) for b in "ls"]
     assert pack(spark.createDataFrame([], "doc_id long, n_tokens long"), {"s": 10}).count() == 0
