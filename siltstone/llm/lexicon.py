@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Sequence
+from uuid import uuid4
 
 import numpy as np
 
@@ -98,6 +99,13 @@ class Lexicon:
         for name in ARRAYS:
             setattr(self, name, get(name))
         self.root = int(get("root")[0])
+        self.name = folder or uuid4().hex
+
+    def __eq__(self, other: object) -> bool:
+        return isinstance(other, Lexicon) and self.name == other.name
+
+    def __hash__(self) -> int:
+        return hash(self.name)
 
     def find(self, words: Sequence[bytes]) -> np.ndarray:
         """Of each word its number, -1 where the automaton doesn't hold it. All words advance together, a byte at a time."""

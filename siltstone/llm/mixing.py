@@ -12,6 +12,8 @@ from siltstone.session import staged
 
 #: Records of one cell of the order within a source, about.
 CELL_ROWS = 100_000
+#: Targets up to which the plan is sent to every task; a larger plan is joined by salted sources.
+MOST_TARGETS, SALTS = 100_000, 64
 #: Fixed value: blanks that trimming removes.
 BLANKS = " \t\n\r\f\x0b\x85\xa0    ​　﻿"
 
@@ -104,7 +106,12 @@ def mix(candidates: DataFrame, profiles: DataFrame, plans: DataFrame, targets: D
     rows = staged(ordered(usable, cell_rows), "ordered")
     sums = F.col("position") * F.col("copies") + F.col("offset")
     earlier = (F.col("position") - 1) * F.col("copies") + F.col("offset")
-    drawn = rows.join(plan.where("copies > 0").select("mix_id", "source", "copies", "offset"), "source")
+    active = plan.where("copies > 0").select("mix_id", "source", "copies", "offset")
+    if active.count() <= MOST_TARGETS:
+        drawn = rows.join(F.broadcast(active), "source")
+    else:
+        salted = active.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        drawn = rows.withColumn("_salt", F.pmod(F.xxhash64("candidate_id"), F.lit(SALTS)).cast("int")).join(salted, ["source", "_salt"])
     chosen = drawn.select("mix_id", "source", "candidate_id", "n_tokens", (F.floor(sums) - F.floor(earlier)).alias("n")).where("n > 0")
     got = chosen.groupBy("mix_id", "source").agg(F.sum("n").alias("emitted"), F.count("*").alias("used"), F.sum(F.col("n") * F.col("n_tokens")).alias("tokens"))
     filled = plan.join(got, ["mix_id", "source"], "left").na.fill(0, ["emitted", "used", "tokens"])

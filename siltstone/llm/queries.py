@@ -51,12 +51,33 @@ def p2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.state.select("doc_id", "source", "lang", "domain", "n_tokens")
 
 
-def p2_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signed deltas from the corpus of punctual rows to the whole one: late rows come in, no text is encoded twice."""
+def _two_days(spark: SparkSession, sf_dir: str) -> tuple[tokens.TokenLedger, DataFrame]:
+    """A ledger of punctual documents, opened again and brought to the corpus of all documents that have a feed; the deltas of the second update."""
     docs, profiles = table(spark, sf_dir, "documents"), table(spark, sf_dir, "dataset_profiles")
-    ledger = tokens.TokenLedger(spark)
-    ledger.update(docs.where("ingested_at <= collected_at + interval 1 day"), profiles)
-    return ledger.update(docs, profiles)
+    first = tokens.TokenLedger(spark)
+    first.update(docs.where("ingested_at <= collected_at + interval 1 day"), profiles)
+    again = tokens.TokenLedger(spark, path=first.path)
+    deltas = again.update(docs.where("source is not null"), profiles)
+    return again, deltas
+
+
+def p2_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signed deltas of the second day: late rows come in, documents without a feed are withdrawn, no text is encoded twice."""
+    return _two_days(spark, sf_dir)[1]
+
+
+def p2_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cube after both days against the state it must agree with: documents of each slice, and tokens the two differ by."""
+    ledger, _ = _two_days(spark, sf_dir)
+    state = ledger.state.groupBy(*tokens.SLICE).agg(F.count("*").alias("_docs"), F.sum("n_tokens").alias("_tokens"))
+    both = ledger.cube.join(state, list(tokens.SLICE), "full")
+    return both.select(*tokens.SLICE, "docs", (F.col("docs") - F.col("_docs")).alias("docs_apart"), (F.col("tokens") - F.col("_tokens")).alias("tokens_apart"))
+
+
+def p5_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document the bytes that its ids stand for, which are those of its text, and whether it has any ids."""
+    docs = table(spark, sf_dir, "documents")
+    return tokens.ids_bytes(tokens.encode_corpus(docs, lexicon=tokens.build_lexicon(docs)))
 
 
 def _near(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
@@ -142,11 +163,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_budget": p2_budget,
     "p2_tokens": p2_tokens,
     "p2_delta": p2_delta,
+    "p2_ledger": p2_ledger,
     "p3_found": p3_found,
     "p3_groups": p3_groups,
     "p4_found": p4_found,
     "p4_records": p4_records,
     "p5_ids": p5_ids,
+    "p5_bytes": p5_bytes,
     "p6_pack": p6_pack,
     "p6_unused": p6_unused,
     "p6_classes": p6_classes,
@@ -187,6 +210,17 @@ got AS (
   SELECT mix_id, source, sum(copies) AS emitted, count(*) AS used, sum(copies * n_tokens) AS tokens FROM chosen GROUP BY 1, 2)
 """
 
+_BLANK = "('', 'none', 'null', 'tbd', 'und', 'unknown', 'n/a')"
+_SLICES_SQL = f"""
+WITH names AS (SELECT DISTINCT lower(trim(profile)) AS profile, CASE WHEN lower(trim(source)) IN {_BLANK} THEN 'unknown' ELSE lower(trim(source)) END AS source FROM dataset_profiles),
+spelled AS (SELECT *, split_part(replace(lower(trim(lang)), '_', '-'), '-', 1) AS base FROM documents),
+sliced AS (
+  SELECT d.*, coalesce(n.source, 'unknown') AS slice_source,
+         CASE {" ".join(f"WHEN base = '{a}' THEN '{b}'" for a, b in tokens.LANGUAGES.items())} WHEN base IS NULL THEN 'unknown' ELSE base END AS slice_lang,
+         CASE WHEN domain IS NULL OR lower(trim(domain)) IN {_BLANK} THEN 'unknown' ELSE lower(trim(domain)) END AS slice_domain
+  FROM spelled d LEFT JOIN names n ON n.profile = lower(trim(d.profile)))
+"""
+
 ORACLES: dict[str, str] = {
     "p1_found": _MIX_SQL + "SELECT mix_id, source FROM plan WHERE wanted > max_epochs * available",
     "p1_shares": _MIX_SQL
@@ -199,4 +233,9 @@ FROM plan LEFT JOIN got USING (mix_id, source)""",
     "p6_faults": """
 SELECT DISTINCT bucket, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, CAST(0 AS BIGINT) AS overfull, CAST(0 AS BIGINT) AS split, CAST(0 AS BIGINT) AS lost
 FROM pack_capacities WHERE sequence_length > 0""",
+    "p2_ledger": _SLICES_SQL
+    + """
+SELECT slice_source AS source, slice_lang AS lang, slice_domain AS domain, count(*) AS docs, CAST(0 AS BIGINT) AS docs_apart, CAST(0 AS BIGINT) AS tokens_apart
+FROM sliced WHERE source IS NOT NULL GROUP BY 1, 2, 3""",
+    "p5_bytes": "SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS bytes, coalesce(text, '') <> '' AS has_ids FROM documents",
 }

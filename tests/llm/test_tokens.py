@@ -64,11 +64,21 @@ def test_lexicon_round_trip():
 
 def test_corpus_with_lexicon(spark, own):
     from siltstone.llm import tokens
+    from siltstone.llm.lexicon import ARRAYS
 
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS * 12)], "doc_id long, text string, ids string")
     lexicon = tokens.build_lexicon(docs, least=2)
     found = {r.doc_id: list(r.ids) for r in tokens.encode_corpus(docs, lexicon=lexicon).collect()}
     assert found == {i: own.bpe.encode_ordinary(t or "") for i, t in enumerate(TEXTS * 12)}
+    sent = tokens.Lexicon(lexicon)
+    held = tokens.Lexicon(arrays={n: np.array(getattr(sent, n)) for n in ARRAYS} | {"root": np.array([sent.root])})
+    assert {r.doc_id: list(r.ids) for r in tokens.encode_corpus(docs, lexicon=held).collect()} == found
+    sizes = {r.doc_id: (r.bytes, r.has_ids) for r in tokens.ids_bytes(tokens.encode_corpus(docs)).collect()}
+    assert sizes == {i: (len((t or "").encode()), bool(t)) for i, t in enumerate(TEXTS * 12)}
+    counts = {r.word: r.n for r in tokens.word_counts(docs).collect()}
+    few = tokens.Lexicon(tokens.build_lexicon(docs, least=1, words=len(counts) // 2))
+    kept = [w for w, n in zip(counts, few.find([w.encode() for w in counts])) if n >= 0]
+    assert len(kept) <= len(counts) // 2 and min(counts[w] for w in kept) > max(counts[w] for w in set(counts) - set(kept)) - 1
     none = docs.limit(0)
     assert tokens.encode_corpus(none, lexicon=tokens.build_lexicon(none)).count() == 0
 
@@ -94,11 +104,18 @@ def test_ledger(spark, own, monkeypatch):
         return real(docs, *a, **k)
 
     monkeypatch.setattr(tokens, "content_counts", counted)
+    ledger = tokens.TokenLedger(spark, path=ledger.path)  # opened again, as the next run would
     deltas = rows(ledger.update(spark.createDataFrame(second, schema), profiles))
     assert seen.value == 1  # only the changed text
     assert deltas == {("unknown", "unknown", "unknown"): (-1, 0), ("code", "en", "law"): (-1, -n("three")), ("web", "en", "law"): (1, n("three")), ("unknown", "en", "unknown"): (0, n("changed text here") - n("one two")), ("code", "fr", "x"): (1, n("one two"))}
     assert rows(ledger.cube) == {("web", "en", "law"): (2, n("one two") + n("three")), ("unknown", "en", "unknown"): (1, n("changed text here")), ("code", "fr", "x"): (1, n("one two"))}
     assert ledger.counts.where(F.col("n_tokens") == n("one two")).count() >= 1
+    contents = ledger.counts.count()
+    last = tokens.TokenLedger(spark, path=ledger.path)
+    assert rows(last.update(spark.createDataFrame([], schema), profiles)) == {k: (-d, -t) for k, (d, t) in rows(ledger.cube).items()}
+    assert last.cube.count() == 0 and last.state.count() == 0 and last.counts.count() == contents
+    last.settle()
+    assert tokens.TokenLedger(spark, path=ledger.path).head == 3 and last.cube.count() == 0
 
 
 def test_ledger_of_nothing(spark):
