@@ -63,6 +63,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_mounted(uri: str) -> bool:
+    """Whether the path is one of a mounted file system."""
+    return uri.startswith("file:") or "://" not in uri
+
+
 def local_path(uri: str) -> str:
     """A ``file:`` URI or plain path as a path of the file system."""
     if uri.startswith("file:"):
