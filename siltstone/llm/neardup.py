@@ -33,7 +33,7 @@ MASK = np.uint64((1 << BITS) - 1)
 #: Shingles of a chunk of sets, about; a chunk has at most 65,536 sets.
 CHUNK_SHINGLES, CHUNK_SETS = 500_000, 1 << 16
 #: Prefix entries of a block, and shingle occurrences of a range that are counted together, about.
-BLOCK_ENTRIES, RANGE_SHINGLES = 400_000, 2_000_000
+BLOCK_ENTRIES, RANGE_SHINGLES = 700_000, 2_000_000
 #: The sets of a shingle meet in parts of about so many. It spreads the work only; what is found is the same at any value.
 HOT = 20_000
 #: The orders: bits by which the level of frequency is coarsened, and the odd factors of the hash that breaks ties.
