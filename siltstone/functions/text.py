@@ -15,6 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Control characters, blanks and gaps that the normal form removes.
 _CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 _BLANKS = re.compile(r"[\t\f\v ]+")
 _GAP = re.compile(r"\n{3,}")
@@ -73,6 +74,29 @@ def canonical_json(values: pd.Series) -> pd.Series:
     return _each(values, one)
 
 
+@F.pandas_udf(T.StringType())
+def changed_json(data: pd.Series, fields: pd.Series, writes: pd.Series, messages: pd.Series, digest: pd.Series) -> pd.Series:
+    """The object ``data`` with what cleaning changed, as canonical JSON: text fields, noted values in order, messages, and the digest of the text where it has none.
+
+    An absent object counts as an empty one. Values noted as ``default`` never replace a field.
+    """
+
+    def one(data: str | None, fields: str | None, writes: str | None, messages: str | None, digest: str | None) -> str:
+        whole = json.loads(data) if data else {}
+        whole.update(json.loads(fields) if fields else {})
+        for w in json.loads(writes) if writes else ():
+            into = whole.setdefault("metadata", {}) if w["how"].startswith("meta_") else whole
+            if isinstance(into, dict) and (w["how"].endswith("set") or w["name"] not in into):
+                into[w["name"]] = json.loads(w["value"])
+        if messages is not None:
+            whole["messages"] = json.loads(messages)
+        if digest is not None:
+            whole.setdefault("text_sha256", digest)
+        return json.dumps(whole, ensure_ascii=False, sort_keys=True)
+
+    return pd.Series([one(*(None if v is pd.NA else v for v in row)) for row in zip(data, fields, writes, messages, digest)], dtype=object)
+
+
 def keyed_hash(size: int):
     """An Arrow function: BLAKE2b of ``seed``, a zero byte and the key, ``size`` bytes."""
 
@@ -86,18 +110,19 @@ def keyed_hash(size: int):
 order_key = keyed_hash(16)
 
 
-def stable_partition(key: Column, partitions: int) -> Column:
-    """A partition that depends on the key alone: BLAKE2b-64, unsigned, modulo ``partitions``."""
+def stable_partition(key: Column, partitions: int, seed: str = "siltstone") -> Column:
+    """A partition that depends on the seed and the key alone: BLAKE2b-64 of the seed, a zero byte and the key, unsigned, modulo ``partitions``."""
     if partitions <= 0:
         raise ValueError("partitions must be positive")
 
     @F.pandas_udf(T.IntegerType())
     def part(values: pd.Series) -> pd.Series:
-        return pd.Series([None if v is None else int.from_bytes(hashlib.blake2b(str(v).encode(), digest_size=8).digest(), "big") % partitions for v in values], dtype="Int32")
+        return pd.Series([None if v is None else int.from_bytes(hashlib.blake2b(f"{seed}\0{v}".encode(), digest_size=8).digest(), "big") % partitions for v in values], dtype="Int32")
 
     return part(key.cast("string"))
 
 
+#: Fixed value: a word of the SimHash.
 _TOKEN = re.compile(r"\w+")
 
 

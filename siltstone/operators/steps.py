@@ -366,6 +366,7 @@ def bucket_reasoning(s: State) -> None:
     s.bucket("origin", F.when(truthy("$.teacher_model"), "teacher_rewrite").otherwise(F.coalesce(shown("$.origin"), F.lit("raw"))))
     s.bucket("domain", F.coalesce(shown("$.domain"), shown("$.source_group"), F.lit("general")))
     s.bucket("verified", F.when(truthy("$.verified"), "verified").otherwise("unverified"))
+    s.write("lineage_hash", shown("$.source_row_hash"), how="default")
 
 
 # --- scanned pages and general text

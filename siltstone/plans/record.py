@@ -128,6 +128,10 @@ def above(value: Column, limit: float, equal: bool = False) -> Column:
     return F.coalesce(((value >= limit) if equal else (value > limit)) & ~F.isnan(value), no())
 
 
+def as_json(value: Column) -> Column:
+    return F.to_json(value.cast("variant"))
+
+
 def not_empty(value: Column) -> Column:
     return F.coalesce(value != "", no())
 
@@ -142,6 +146,7 @@ class State:
     sets: dict[str, Column] = field(default_factory=dict)
     marks: list[tuple[Column, int, str]] = field(default_factory=list)
     flags: list[tuple[Column, str]] = field(default_factory=list)
+    writes: list[tuple[Column, str, str, Column]] = field(default_factory=list)
 
     def get(self, name: str) -> Column:
         return self.sets.get(name, F.col(name))
@@ -173,6 +178,14 @@ class State:
     def metric(self, name: str, value: Column, when: Column | None = None) -> None:
         self.put(f"m_{name}", value.cast("double"), value.isNotNull() if when is None else when & value.isNotNull())
 
+    def write(self, name: str, value: Column, when: Column | None = None, how: str = "set") -> None:
+        """Notes a value for the released object: ``set`` or, where the field is missing, ``default``; with ``meta_`` before it a field of its metadata."""
+        self.writes.append((F.coalesce(self.guard if when is None else self.guard & when, no()) & value.isNotNull(), name, how, as_json(value)))
+
+    def put_messages(self, value: Column, when: Column | None = None) -> None:
+        self.put("messages", value, when)
+        self.put("wrote_messages", yes(), when)
+
     def stop(self, when: Column) -> None:
         """Nothing after this happens in this step where ``when`` holds."""
         self.guard = self.guard & ~F.coalesce(when, no())
@@ -188,8 +201,8 @@ class Step:
     before: tuple[Callable[[State], dict[str, Column]], ...] = ()
 
 
-def marked(df: DataFrame, position: int, marks: list[tuple[Column, int, Any]], flags: list[tuple[Column, str]], sets: Mapping[str, Column]) -> DataFrame:
-    """One projection: changes, marks and flags of a step where the row is alive, and its entry in the transitions."""
+def marked(df: DataFrame, position: int, marks: list[tuple[Column, int, Any]], flags: list[tuple[Column, str]], sets: Mapping[str, Column], writes: list[tuple[Column, str, str, Column]] = ()) -> DataFrame:
+    """One projection: changes, marks, flags and values to write of a step where the row is alive, and its entry in the transitions."""
     alive = F.col("rank") < DROP
     out = {name: F.when(alive, value).otherwise(F.col(name)) for name, value in sets.items()}
     if marks:
@@ -201,6 +214,9 @@ def marked(df: DataFrame, position: int, marks: list[tuple[Column, int, Any]], f
     if flags:
         new = F.filter(F.array(*[F.when(c, F.lit(n)) for c, n in flags]), lambda x: x.isNotNull())
         out["flags"] = F.when(alive, F.array_sort(F.array_distinct(F.concat("flags", new)))).otherwise(F.col("flags"))
+    if writes:
+        new = F.array(*[F.when(c, F.struct(F.lit(n).alias("name"), F.lit(how).alias("how"), v.alias("value"))) for c, n, how, v in writes])
+        out["writes"] = F.when(alive, F.concat("writes", F.filter(new, lambda x: x.isNotNull()))).otherwise(F.col("writes"))
     return df.withColumns(out) if out else df
 
 
@@ -214,7 +230,7 @@ def apply_step(df: DataFrame, step: Step, position: int, category: str, config:
         df = fenced(df.withColumns(new))
     state = State(config, category)
     step.describe(state)
-    df = marked(df, position, state.marks, state.flags, state.sets)
+    df = marked(df, position, state.marks, state.flags, state.sets, state.writes)
     return fenced(df.drop(*shared) if shared else df)
 
 
@@ -248,6 +264,8 @@ def with_state(df: DataFrame) -> DataFrame:
         "flags": F.array().cast("array<string>"),
         "transitions": F.array().cast("array<struct<step:int,rank:int>>"),
         "text_sha256": F.lit(None).cast("string"),
+        "writes": F.array().cast("array<struct<name:string,how:string,value:string>>"),
+        "wrote_messages": no(),
     }
     return df.withColumns(new)
 
@@ -288,7 +306,11 @@ def finished(df: DataFrame, stage: str, category: str) -> DataFrame:
 
     decision = F.element_at(F.array(*map(F.lit, DECISIONS)), F.col("rank") + 1)
     text = State({}, category).text()
+    changed = [F.when(~F.col(f"f_{n}").eqNullSafe(strict_string(f"$.{n}")), F.struct(F.lit(n).alias("key"), F.col(f"f_{n}").alias("value"))) for n in FIELDS]
+    fields = F.map_from_entries(F.filter(F.array(*changed), lambda x: x["value"].isNotNull()))
+    spoken = F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), m["reasoning_content"].alias("reasoning_content"), F.try_parse_json(m["tool_calls"]).alias("tool_calls")))
+    changes = F.struct(fields.alias("fields"), F.col("writes"), F.when(F.col("wrote_messages"), F.to_json(spoken)).alias("messages"))
     return df.select(
         "dataset", "source_id", "seq", F.lit(stage).alias("stage"), F.lit(category).alias("category"), decision.alias("decision"), "reasons", "flags",
-        packed("b_", BUCKETS).alias("buckets"), packed("m_", METRICS).alias("metrics"), text.alias("text"), "messages", "data", "transitions", "text_sha256",
+        packed("b_", BUCKETS).alias("buckets"), packed("m_", METRICS).alias("metrics"), text.alias("text"), "messages", "data", "transitions", "text_sha256", changes.alias("changes"),
     )

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.functions.text import canonical_json
+from siltstone.functions.text import canonical_json, changed_json
 
 REQUIRED = ("dataset", "source_id", "stage", "category", "decision", "data")
 DECISIONS = ("keep", "review", "drop")
@@ -71,9 +71,13 @@ def record_hash(data: Column) -> Column:
 
 
 def released(cleaned: DataFrame) -> DataFrame:
-    """Records as they are written: the ten fields and the hash of the data, which is given as JSON."""
-    data = F.coalesce(F.to_json("data"), F.to_json(F.struct("text")))
-    return cleaned.withColumn("data", canonical_json(data)).withColumn("record_sha256", F.sha2("data", 256)).select(
+    """Records as they are written: the ten fields and the hash of the data, which is given as JSON.
+
+    The data are the payload with what the steps made of it: normalised and mapped
+    text fields, messages, metadata and the digest of the text.
+    """
+    parts = [F.to_json("data"), F.to_json(F.col("changes")["fields"]), F.to_json(F.col("changes")["writes"]), F.col("changes")["messages"], F.col("text_sha256")]
+    return cleaned.withColumn("data", changed_json(*parts)).withColumn("record_sha256", F.sha2("data", 256)).select(
         "dataset", "source_id", "seq", "stage", "category", "data", "decision", "reasons", "flags", "buckets", "metrics", "record_sha256"
     )
 
