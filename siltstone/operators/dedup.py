@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from itertools import combinations
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -13,44 +15,78 @@ from siltstone.functions.text import simhash, text_digest
 from siltstone.session import staged
 
 
+#: Parts of the rows of one key; rows that are marked by a broadcast at most.
+SALTS, MOST_SENT = 64, 1_000_000
+
+
+def firsts(keys: DataFrame, key: str, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+    """``keys`` with a salt, and ``(key, _salt, _first)`` of keys that occur again.
+
+    Rows of a key are reduced by salted parts, and joined to their first by the same
+    salt: a key that holds a third of all rows is spread over ``SALTS`` tasks.
+    """
+    salted = keys.withColumn("_salt", F.pmod(F.xxhash64(seq), F.lit(SALTS)))
+    parts = salted.groupBy(key, "_salt").agg(F.min(seq).alias("_least"), F.count("*").alias("_n"))
+    again = parts.groupBy(key).agg(F.min("_least").alias("_first"), F.sum("_n").alias("_n")).where("_n > 1").select(key, "_first")
+    return salted, parts.select(key, "_salt").join(again, key)
+
+
 def later_copies(keys: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """``seq`` of the rows that aren't the first with their key. Only keys and positions are shuffled; hot keys are reduced before."""
-    first = keys.groupBy(key).agg(F.min(seq).alias("_first"))
-    return keys.join(first, key).where(F.col(seq) > F.col("_first")).select(seq)
+    """``seq`` of the rows that aren't the first with their key. Only keys and positions are shuffled."""
+    salted, first = firsts(keys, key, seq)
+    return salted.join(first, [key, "_salt"]).where(F.col(seq) > F.col("_first")).select(seq)
+
+
+def marked_rows(df: DataFrame, rows: DataFrame, name: str, seq: str = "seq") -> DataFrame:
+    """``df`` with the column ``name``, true for the listed ``seq``. Few of them are sent to every task, so that ``df`` stays where it is."""
+    rows = staged(rows.select(seq).distinct().withColumn(name, F.lit(True)), name.strip("_"))
+    listed = F.broadcast(rows) if rows.count() <= MOST_SENT else rows
+    return df.join(listed, seq, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def repeats(df: DataFrame, text: Column, seq: str = "seq", prior: DataFrame | None = None) -> DataFrame:
     """``(seq, digest, duplicate)`` of all rows; with ``prior`` digests of earlier runs these count as seen."""
-    keyed = df.select(seq, text_digest(text).alias("digest"))
-    first = keyed.groupBy("digest").agg(F.min(seq).alias("_first"))
-    out = keyed.join(first, "digest").select(seq, "digest", (F.col(seq) > F.col("_first")).alias("duplicate"))
-    if prior is not None:
-        seen = prior.select("digest").distinct().withColumn("_seen", F.lit(True))
-        out = out.join(seen, "digest", "left").select(seq, "digest", (F.col("duplicate") | F.coalesce("_seen", F.lit(False))).alias("duplicate"))
-    return out
+    keyed = staged(df.select(seq, text_digest(text).alias("digest")), "digests")
+    return marked_rows(keyed, repeated(keyed, seq, prior), "duplicate", seq).select(seq, "digest", "duplicate")
+
+
+def repeated(keyed: DataFrame, seq: str = "seq", prior: DataFrame | None = None) -> DataFrame:
+    """``seq`` of the rows of ``(seq, digest)`` whose digest came earlier, in them or in ``prior``."""
+    later = later_copies(keyed, "digest", seq)
+    if prior is None:
+        return later
+    return later.unionByName(keyed.join(prior.select("digest").distinct(), "digest", "left_semi").select(seq))
 
 
-def band(value: Column, number: int, bands: int) -> Column:
-    width = 64 // bands
-    return F.shiftrightunsigned(value, number * width).bitwiseAND(F.lit((1 << width) - 1))
+def cut_points(blocks: int) -> list[tuple[int, int]]:
+    """Shift and width of each block of 64 bits; the widths differ by one at most."""
+    ends = [64 * i // blocks for i in range(blocks + 1)]
+    return [(a, b - a) for a, b in zip(ends, ends[1:])]
 
 
-def near_pairs(prints: DataFrame, threshold: int = 3, bands: int = 4) -> DataFrame:
-    """Pairs ``(a, b, distance)``, a < b, of different fingerprints within ``threshold`` bits.
+def near_pairs(prints: DataFrame, threshold: int = 3, bands: int = 4, others: DataFrame | None = None) -> DataFrame:
+    """Pairs ``(a, b, distance)``, a < b, of different fingerprints within ``threshold`` bits; with ``others`` a is of ``prints`` and b of them.
 
-    Pairs meet in a band they agree in, of which there is one as long as
-    ``threshold < bands``; a pair is kept in its first common band only.
+    The bits are cut into three blocks more than ``threshold`` (or into ``bands`` if
+    these are more), so fingerprints that near agree in three blocks at least. They meet
+    in one table for each choice of three, under about half of their bits as the key
+    (16 of 64 with four single bands); a pair is kept for its first three common blocks only.
     """
     if not 0 <= threshold < bands or 64 % bands:
         raise ValueError("the threshold must be below the number of bands, which must divide 64")
-    keyed = prints.select("fingerprint").distinct().select("fingerprint", F.posexplode(F.array(*[band(F.col("fingerprint"), i, bands) for i in range(bands)])).alias("band", "value"))
-    left, right = keyed.withColumnRenamed("fingerprint", "a"), keyed.withColumnRenamed("fingerprint", "b")
-    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    pairs = left.join(right, ["band", "value"]).where((F.col("a") < F.col("b")) & (distance <= threshold))
-    earlier = [(band(F.col("a"), i, bands) == band(F.col("b"), i, bands)) & (F.col("band") > i) for i in range(bands - 1)]
-    for same in earlier:
-        pairs = pairs.where(~same)
-    return pairs.select("a", "b", distance.alias("distance"))
+    cuts = cut_points(max(threshold + 3, bands))
+    part = lambda value, i: F.shiftrightunsigned(value, cuts[i][0]).bitwiseAND(F.lit((1 << cuts[i][1]) - 1))
+    choices = list(combinations(range(len(cuts)), 3))
+    keys = [F.struct(F.lit(sum(1 << i for i in c)).alias("choice"), F.xxhash64(*[part(F.col("fingerprint"), i) for i in c]).alias("value")) for c in choices]
+    left, right = (x.select("fingerprint").distinct().select(F.col("fingerprint").alias(n), F.explode(F.array(*keys)).alias("k")).select(n, "k.*") for x, n in ((prints, "a"), (prints if others is None else others, "b")))
+    apart = F.col("a").bitwiseXOR(F.col("b"))
+    common = reduce(lambda x, y: x + y, [F.when(part(apart, i) == 0, 1 << i).otherwise(0) for i in range(len(cuts))])
+    lowest = lambda x: x.bitwiseAND(-x)
+    one = lowest(common)
+    two = lowest(common - one)
+    three = lowest(common - one - two)
+    pairs = left.join(right, ["choice", "value"]).where((F.col("a") < F.col("b") if others is None else F.col("a") != F.col("b")) & (F.bit_count(apart) <= threshold) & (F.col("choice") == one + two + three))
+    return pairs.select("a", "b", F.bit_count(apart).alias("distance"))
 
 
 def near_repeats(prints: DataFrame, threshold: int = 3, bands: int = 4, seq: str = "seq") -> DataFrame:
@@ -64,30 +100,33 @@ def near_repeats(prints: DataFrame, threshold: int = 3, bands: int = 4, seq: str
     both = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     near = both.join(first.select(F.col("fingerprint").alias("b"), F.col("_first").alias("_near")), "b").groupBy("a").agg(F.min("_near").alias("_near"))
     least = first.join(near.withColumnRenamed("a", "fingerprint"), "fingerprint", "left").select("fingerprint", F.least("_first", "_near").alias("_least"))
-    return prints.join(least, "fingerprint").where(F.col(seq) > F.col("_least")).select(seq)
+    salted = prints.withColumn("_salt", F.pmod(F.xxhash64(seq), F.lit(SALTS)))
+    marks = salted.select("fingerprint", "_salt").distinct().join(least, "fingerprint")
+    return salted.join(marks, ["fingerprint", "_salt"]).where(F.col(seq) > F.col("_least")).select(seq)
 
 
 def exact_step(df: DataFrame, config: Mapping[str, Any], step: Any, position: int) -> DataFrame:
+    """Rows are written once, with their digests; of these only digests and positions are shuffled."""
     from siltstone.plans.record import DROP, State, marked
 
-    df = staged(df, "exact")
-    alive = df.where(F.col("rank") < DROP)
-    found = staged(repeats(alive, State(config, config["_category"]).text(), prior=config.get("prior_digests")), "digests")
-    joined = df.join(found, "seq", "left")
-    sets = {"text_sha256": F.coalesce("text_sha256", "digest")}
-    return marked(joined, position, [(F.coalesce("duplicate", F.lit(False)), DROP, "exact_duplicate")], [], sets).drop("digest", "duplicate")
+    alive = F.col("rank") < DROP
+    df = staged(df.withColumn("_digest", F.when(alive, text_digest(F.when(alive, State(config, config["_category"]).text())))), "exact")
+    found = repeated(df.where("_digest is not null").select("seq", F.col("_digest").alias("digest")), prior=config.get("prior_digests"))
+    joined = marked_rows(df, found, "_again")
+    sets = {"text_sha256": F.coalesce("text_sha256", "_digest")}
+    return marked(joined, position, [(F.col("_again"), DROP, "exact_duplicate")], [], sets).drop("_digest", "_again")
 
 
 def near_step(df: DataFrame, config: Mapping[str, Any], step: Any, position: int) -> DataFrame:
+    """Reads the rows that the exact step wrote; only fingerprints and positions are written and shuffled."""
     from siltstone.plans.record import DROP, State, marked
 
     if not config.get("near_dedup"):
         return df
-    df = staged(df, "near")
     text = State(config, config["_category"]).text()
     prints = staged(df.where(F.col("rank") < DROP).select("seq", simhash(text, int(config.get("near_dedup_ngram", 5))).alias("fingerprint")), "prints")
-    found = near_repeats(prints, int(config.get("near_dedup_threshold", 3)), int(config.get("near_dedup_bands", 4))).withColumn("_near", F.lit(True))
-    return marked(df.join(found, "seq", "left"), position, [(F.coalesce("_near", F.lit(False)), DROP, "near_duplicate")], [], {}).drop("_near")
+    found = near_repeats(prints, int(config.get("near_dedup_threshold", 3)), int(config.get("near_dedup_bands", 4)))
+    return marked(marked_rows(df, found, "_near"), position, [(F.col("_near"), DROP, "near_duplicate")], [], {}).drop("_near")
 
 
 def first_per_key(df: DataFrame, key: str, order: str) -> DataFrame:

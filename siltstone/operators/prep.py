@@ -8,7 +8,9 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 from fractions import Fraction
 from math import ceil, floor
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -50,15 +52,26 @@ def select_mix(ids: DataFrame, wanted: Mapping[str, int], seed: str | int, sourc
         raise ValueError(f"too few ids of {', '.join(sorted(lacking))}")
     keyed = own.withColumn("_k", order_key(F.concat_ws(":", F.lit(str(seed)), source), F.col(key)))
     chosen = first_of_groups(keyed, source, ["_k", key], limits[F.col(source)])
-    ordered = chosen.withColumn("_m", order_key(F.lit(f"{seed}:mix"), F.col(key))).orderBy("_m", key, source)
-    return positioned(ordered.select(source, key))
+    keyed = chosen.select(source, key, order_key(F.lit(f"{seed}:mix"), F.col(key)).alias("_m"))
+    return positioned(keyed, ["_m", key, source]).drop("_m")
 
 
-def positioned(ordered: DataFrame, name: str = "position") -> DataFrame:
-    """A dense position from 0 in the order of a sorted frame."""
-    schema = ordered.schema
-    rows = ordered.rdd.zipWithIndex().map(lambda p: (*p[0], p[1]))
-    return ordered.sparkSession.createDataFrame(rows, schema.add(name, "long"))
+def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` written in ranges of the order, each row with the number ``_part`` of its range."""
+    return staged(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+
+
+def before_ranges(ranges: DataFrame, size: Column) -> DataFrame:
+    """``(_part, _before)``: what the ranges before each have together. One row a range."""
+    parts = ranges.groupBy("_part").agg(F.sum(size).alias("_sum"))
+    return parts.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_before"))
+
+
+def positioned(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
+    """A dense position from 0 in the order of the columns: a place within a range, and the rows of the ranges before it."""
+    ranges = in_ranges(df, order)
+    placed = ranges.withColumn("_row", F.row_number().over(Window.partitionBy("_part").orderBy(*order))).join(before_ranges(ranges, F.lit(1)), "_part")
+    return placed.withColumn(name, F.col("_before") + F.col("_row") - 1).drop("_part", "_row", "_before")
 
 
 def prefix_mixes(candidates: DataFrame, targets: Mapping[str, int], seed: str | int, order: Sequence[str] = ("mix16", "mix64", "mix256"), mix: str = "mix", key: str = "id") -> DataFrame:
@@ -81,29 +94,45 @@ def prefix_mixes(candidates: DataFrame, targets: Mapping[str, int], seed: str |
 def microshards(rows: DataFrame, target: int, source: str = "source", row: str = "row", tokens: str = "tokens") -> DataFrame:
     """``(source, row_start, row_end, tokens)``: runs of rows, closed before the row that would exceed ``target``. Negative sizes count as 0.
 
-    A run depends on the one before it, so the rows of a source pass through one task, in
-    order and in batches: two numbers a row, of which only the open run is held.
+    A run depends on the one before it, so two numbers a row of a source pass through
+    one task, in order; there the sums are taken a batch at a time and searched once for each run.
     """
     if target <= 0:
         raise ValueError("the target must be positive")
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, begin, held, end = None, 0, 0, 0
         for batch in batches:
-            out = []
-            for name, at, size in zip(batch["source"].tolist(), batch["row"].tolist(), batch["tokens"].tolist()):
-                if current is not None and (name != current[0] or held > 0 and held + size > target):
-                    out.append((current[0], begin, end, held))
-                    current = None
-                if current is None:
-                    current, begin, held = (name,), at, 0
-                held, end = held + size, at + 1
-            yield pd.DataFrame(out, columns=["source", "row_start", "row_end", "tokens"])
+            out: list[tuple] = []
+            names = np.array(batch.column(0).to_pylist(), object)
+            rows, sizes = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            edges = [*np.flatnonzero(names[1:] != names[:-1]) + 1, len(names)]
+            for a, b in zip([0, *edges], edges):
+                if a == b:
+                    continue
+                if current is None or names[a] != current[0]:
+                    if current is not None:
+                        out.append((current[0], begin, end, held))
+                    current, begin, held = (names[a],), int(rows[a]), 0
+                total = np.concatenate([[0], np.cumsum(sizes[a:b])])
+                at = 0  # rows of this stretch before the open run's next one
+                while at < b - a:
+                    fits = int(np.searchsorted(total, total[at] + target - held, "right")) - 1
+                    if fits < b - a and held + total[fits] == total[at]:  # a run without tokens takes any row
+                        fits += 1
+                    if fits > at:
+                        held, end = held + int(total[fits] - total[at]), int(rows[a + fits - 1]) + 1
+                    at = fits
+                    if at < b - a:
+                        out.append((current[0], begin, end, held))
+                        begin, held = int(rows[a + at]), 0
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(map(list, zip(*out)), (pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["source", "row_start", "row_end", "tokens"])
         if current is not None:
-            yield pd.DataFrame([(current[0], begin, end, held)], columns=["source", "row_start", "row_end", "tokens"])
+            yield pa.record_batch([pa.array([current[0]], pa.string()), *[pa.array([x], pa.int64()) for x in (begin, end, held)]], ["source", "row_start", "row_end", "tokens"])
 
     own = rows.select(F.col(source).alias("source"), F.col(row).cast("long").alias("row"), F.greatest(F.coalesce(tokens, F.lit(0)), F.lit(0)).cast("long").alias("tokens"))
-    return own.repartition("source").sortWithinPartitions("source", "row").mapInPandas(cut, "source string, row_start long, row_end long, tokens long")
+    return own.repartition("source").sortWithinPartitions("source", "row").mapInArrow(cut, "source string, row_start long, row_end long, tokens long")
 
 
 def balance(units: Iterable[tuple[str, float]], workers: int) -> list[list[str]]:
@@ -238,19 +267,16 @@ def parse_blend(items: Sequence[str]) -> tuple[list[str], list[float] | None]:
     return list(items), None
 
 
-def token_windows(docs: DataFrame, sequence: int, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+def token_windows(docs: DataFrame, sequence: int, key: str = "doc_id", size: Column | str | None = None) -> DataFrame:
     """``(sample, doc key, begin, end)``: which piece of which document each sample of ``sequence`` tokens is made of, in key order.
 
-    Positions are sums over ranges of the key: within a range by a window, before it
-    by a sum over the few ranges.
+    ``size`` is the number of tokens, by default of the array ``ids``. Positions are sums
+    over ranges of the key: within a range by a window, before it by a sum over the few ranges.
     """
-    sized = docs.select(F.col(key), F.size(ids).cast("long").alias("n")).where("n > 0")
-    ranges = sized.repartitionByRange(key).withColumn("_part", F.spark_partition_id())
-    ranges = staged(ranges, "ranges")
-    inner = Window.partitionBy("_part").orderBy(key)
-    parts = ranges.groupBy("_part").agg(F.sum("n").alias("_sum"))
-    before = parts.withColumn("_before", F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum"))
-    placed = ranges.withColumn("_end", F.sum("n").over(inner)).join(before, "_part").select(key, (F.col("_before") + F.col("_end") - F.col("n")).alias("a"), (F.col("_before") + F.col("_end")).alias("b"))
+    size = F.size("ids") if size is None else F.col(size) if isinstance(size, str) else size
+    ranges = in_ranges(docs.select(F.col(key), size.cast("long").alias("n")).where("n > 0"), [key])
+    upto = F.sum("n").over(Window.partitionBy("_part").orderBy(key))
+    placed = ranges.withColumn("_end", upto).join(before_ranges(ranges, F.col("n")), "_part").select(key, (F.col("_before") + F.col("_end") - F.col("n")).alias("a"), (F.col("_before") + F.col("_end")).alias("b"))
     samples = placed.select(key, "a", "b", F.explode(F.sequence(F.floor(F.col("a") / sequence), F.floor((F.col("b") - 1) / sequence))).alias("sample"))
     return samples.select("sample", key, (F.greatest("a", F.col("sample") * sequence) - F.col("a")).alias("begin"), (F.least("b", (F.col("sample") + 1) * sequence) - F.col("a")).alias("end"))
 

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as tx
-from siltstone.operators import dedup, evaluation, prep, sequences, steps
+from siltstone.operators import dedup, evaluation, prep, profiles, sequences, steps
 from siltstone.operators.profiles import PROFILES, language_for_path, reject_path_reason
+from siltstone.operators.steps import step
 from siltstone.plans.pipeline import clean, step_counts, steps_of
-from siltstone.plans.record import CATEGORIES, adapted, with_state
+from siltstone.plans.record import CATEGORIES, Step, adapted, apply_step, below, with_state
 from siltstone.session import staged
 from siltstone.sources import jsonl
 
@@ -75,33 +76,160 @@ for _name, (_stage, _category, _) in PROFILES.items():
     query()(_category_query(_category, _stage, _name))
 
 
+_PAYLOADS = """WITH o AS (SELECT r.record_id, r.payload, row_number() OVER (PARTITION BY r.record_id ORDER BY r.ingested_at NULLS FIRST, r.dataset NULLS FIRST, r.payload NULLS FIRST) AS k
+FROM raw_records r JOIN (SELECT DISTINCT lower(trim(profile)) AS profile FROM dataset_profiles WHERE source = '{category}') p ON lower(trim(r.profile)) = p.profile),
+j AS (SELECT record_id, CAST(payload AS JSON) AS p FROM o WHERE k = 1 AND json_valid(payload) AND json_type(payload) = 'OBJECT')"""
+
+
+def _text_sql(name: str) -> str:
+    return f"CASE WHEN json_type(p, '$.{name}') = 'VARCHAR' THEN p->>'$.{name}' END"
+
+
+def _moved_sql(new: str, old: str) -> str:
+    return f"coalesce({_text_sql(new)}, CASE WHEN json_type(p, '$.{new}') IS NULL THEN {_text_sql(old)} END)"
+
+
+def _shown_sql(*names: str, default: str = "unknown") -> str:
+    return "coalesce(" + ", ".join(f"CASE WHEN p->>'$.{n}' NOT IN ('', 'false', '0', '[]', '{{}}') THEN p->>'$.{n}' END" for n in names) + f", '{default}')"
+
+
+def _rules(category: str, before: list[Step] = (), config: dict | None = None, buckets: tuple[str, ...] = (), metrics: tuple[str, ...] = ()) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        checked = through(raw(spark, sf_dir, category), list(before) or steps.BY_CATEGORY[category], category, **(config or {}))
+        return checked.select(F.col("seq").alias("record_id"), joined("reasons"), *[F.col(f"b_{b}").alias(b) for b in buckets], *[F.col(f"m_{m}").alias(m) for m in metrics])
+
+    return run
+
+
+def _quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def _register(name: str, doc: str, run: Query, sql: str) -> None:
+    run.__name__, run.__doc__ = name, doc
+    query(sql)(run)
+
+
+_register(
+    "rules_math", "The own steps of mathematics on its raw records.", _rules("math", buckets=("form", "difficulty", "domain", "verified")),
+    _PAYLOADS.format(category="math") + f""", f AS (SELECT *, coalesce({_moved_sql("question", "problem")}, '') AS q, coalesce({_moved_sql("solution", "response")}, '') AS s FROM j)
+SELECT record_id, CASE WHEN q = '' OR s = '' THEN 'missing_problem_or_solution' ELSE concat_ws(',', CASE WHEN regexp_matches(q || chr(10) || s, '{_quoted(steps.IMAGE)}') AND {_shown_sql("image_text", default="")} = '' THEN 'missing_multimodal_context' END,
+CASE WHEN length(s) < 32 THEN 'solution_too_short' END, CASE WHEN NOT regexp_matches(s, '{_quoted(steps.ANSWER_SIGNAL)}') AND {_shown_sql("answer", default="")} = '' THEN 'missing_final_answer_signal' END) END AS reasons,
+CASE WHEN q <> '' AND s <> '' THEN {_shown_sql("form", default="qa")} END AS form, CASE WHEN q <> '' AND s <> '' THEN {_shown_sql("difficulty")} END AS difficulty,
+CASE WHEN q <> '' AND s <> '' THEN {_shown_sql("domain", "subject", default="math")} END AS domain, CASE WHEN q <> '' AND s <> '' THEN 'unknown' END AS verified FROM f""",
+)
+_register(
+    "rules_instruction", "The own steps of instructions on their raw records.", _rules("instruction", buckets=("task", "risk", "turns")),
+    _PAYLOADS.format(category="instruction") + f""", f AS (SELECT *, coalesce({_moved_sql("prompt", "instruction")}, '') AS q, coalesce({_moved_sql("response", "output")}, '') AS s FROM j),
+d AS (SELECT *, CASE WHEN q = '' OR s = '' THEN 'incomplete_instruction_pair' WHEN lower(q) = lower(s) THEN 'prompt_response_identical' END AS gone FROM f)
+SELECT record_id, coalesce(gone, CASE WHEN regexp_matches(s, '{_quoted(steps.TEMPLATE)}') THEN 'generic_model_template' ELSE '' END) AS reasons,
+CASE WHEN gone IS NULL THEN {_shown_sql("task", "category", default="general")} END AS task, CASE WHEN gone IS NULL THEN {_shown_sql("risk_category", default="normal")} END AS risk, CASE WHEN gone IS NULL THEN 'single' END AS turns FROM d""",
+)
+_register(
+    "rules_reasoning", "The own steps of reasoning on its raw records.", _rules("reasoning", buckets=("origin", "domain", "verified")),
+    _PAYLOADS.format(category="reasoning") + f""", f AS (SELECT *, {_moved_sql("problem", "prompt")} AS q, {_moved_sql("reasoning", "response")} AS s, {_text_sql("final_answer")} AS a FROM j),
+t AS (SELECT *, CASE WHEN q IS NULL OR s IS NULL THEN {_text_sql("text")} ELSE concat_ws(chr(10), nullif(q, ''), nullif(s, ''), nullif(a, '')) END AS t FROM f)
+SELECT record_id, concat_ws(',', CASE WHEN regexp_matches(coalesce(t, ''), '{_quoted(steps.CONTROL)}') THEN 'control_or_prompt_artifact' END,
+CASE WHEN coalesce(s, '') = '' THEN 'missing_reasoning' WHEN length(s) < 64 OR NOT regexp_matches(s, '{_quoted(steps.REASONING_SIGNAL)}') THEN 'weak_reasoning_signal' END,
+CASE WHEN {_shown_sql("final_answer", "answer", default="")} = '' THEN 'missing_final_answer' END) AS reasons,
+CASE WHEN coalesce(s, '') <> '' THEN {_shown_sql("origin", default="raw")} END AS origin, CASE WHEN coalesce(s, '') <> '' THEN {_shown_sql("domain", "source_group", default="general")} END AS domain,
+CASE WHEN coalesce(s, '') <> '' THEN 'unverified' END AS verified FROM t""",
+)
+_register(
+    "rules_web", "The own steps of web pages on their raw records.", _rules("web", buckets=("subtype", "topic")),
+    _PAYLOADS.format(category="web") + f""", f AS (SELECT *, {_text_sql("question")} AS q, {_text_sql("answer")} AS a FROM j),
+t AS (SELECT *, q IS NOT NULL AND a IS NOT NULL AS qa, CASE WHEN q IS NOT NULL AND a IS NOT NULL THEN concat_ws(chr(10), nullif(q, ''), nullif(a, '')) ELSE coalesce({_text_sql("text")}, '') END AS t FROM f),
+l AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: length(trim(x, ' ' || chr(9) || chr(13))) > 0) AS x FROM t),
+b AS (SELECT *, coalesce(len(list_distinct(x)) / nullif(len(x), 0) < 0.45, false) AS again, len(regexp_extract_all(t, '{_quoted(steps.BOILERPLATE)}')) >= 4 AS plate FROM l),
+r AS (SELECT *, concat_ws(',', CASE WHEN plate THEN 'web_boilerplate' END, CASE WHEN again THEN 'repetitive_web_text' END, CASE WHEN again OR NOT qa THEN NULL WHEN length(q) < 4 OR a = '' THEN 'incomplete_qa_pair'
+WHEN regexp_matches(a, '(?im)\\A\\s*(?:unknown|n/?a|i don''?t know|无法回答|不知道)\\s*[.!。！]?$') THEN 'unknown_answer' END) AS reasons FROM b)
+SELECT record_id, reasons, CASE WHEN qa THEN 'web_qa' ELSE 'web_text' END AS subtype, CASE WHEN again OR reasons LIKE '%incomplete_qa_pair' OR reasons LIKE '%unknown_answer' THEN NULL ELSE {_shown_sql("topic_top1", "topic")} END AS topic FROM r""",
+)
+_register(
+    "rules_code", "The own steps of source code on its raw records.", _rules("code", buckets=("language", "subtype", "verified")),
+    _PAYLOADS.format(category="code") + f""", f AS (SELECT *, CASE WHEN json_type(p, '$.content') IS NOT NULL AND json_type(p, '$.text') IS NULL THEN {_text_sql("content")} ELSE coalesce({_text_sql("text")}, {_text_sql("content")}) END AS t FROM j),
+c AS (SELECT *, coalesce(t, '') AS x, regexp_replace(coalesce(t, ''), '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}]', chr(10), 'g') AS e, lower({_shown_sql("path", "file_path", default="")}) AS path FROM f),
+n AS (SELECT *, CASE WHEN e = '' THEN 0 ELSE length(e) - length(replace(e, chr(10), '')) + 1 - CASE WHEN e LIKE '%' || chr(10) THEN 1 ELSE 0 END END AS lines,
+{" OR ".join(f"contains(path, '{d}')" for d in steps.DENIED_PARTS)} AS denied FROM c)
+SELECT record_id, CASE WHEN denied THEN 'non_core_or_vendored_file' ELSE concat_ws(',', CASE WHEN regexp_matches(x[1:4096], '{_quoted(steps.GENERATED)}') THEN 'possibly_generated_code' END,
+CASE WHEN NOT regexp_matches(x, '{_quoted(steps.CODE_SIGNAL)}') AND lines < 3 THEN 'weak_code_signal' END) END AS reasons,
+{_shown_sql("language", "metadata.language")} AS language, {_shown_sql("subtype", default="code")} AS subtype, CASE WHEN NOT denied THEN 'unverified' END AS verified FROM n""",
+)
+_register(
+    "rules_scored_pages", "The rules of the profile finepdfs on the raw records of scanned pages.", _rules("pdf_ocr", PROFILES["finepdfs"][2], buckets=("finepdfs_policy",), metrics=("finepdfs_lid_score", "finepdfs_minhash_count", "finepdfs_primary_score")),
+    _PAYLOADS.format(category="pdf_ocr") + """, f AS (SELECT record_id, CAST(p->>'$.lid_score' AS DOUBLE) AS lid, CAST(p->>'$.minhash_count' AS DOUBLE) AS copies, CAST(p->>'$.primary_score' AS DOUBLE) AS score FROM j)
+SELECT record_id, concat_ws(',', CASE WHEN lid < 0.85 THEN 'finepdfs_low_language_score' END, CASE WHEN copies > 2 THEN 'finepdfs_excessive_minhash_overlap' END, CASE WHEN score < 0.8 THEN 'finepdfs_low_primary_score' END,
+CASE WHEN lid IS NULL OR copies IS NULL OR score IS NULL THEN 'finepdfs_missing_quality_metric' END) AS reasons, 'relaxed_lid085_mh2_p08' AS finepdfs_policy, lid AS finepdfs_lid_score, copies AS finepdfs_minhash_count, score AS finepdfs_primary_score FROM f""",
+)
+_register(
+    "rules_scored_web", "The rules of the profile web_knowledge on the raw records of web pages.", _rules("web", PROFILES["web_knowledge"][2], {"web_knowledge_min_quality_band": "ge3"}, buckets=("classifier_quality",), metrics=("web_knowledge_quality_mean",)),
+    _PAYLOADS.format(category="web") + """, f AS (SELECT record_id, CAST(p->>'$.quality_mean' AS DOUBLE) AS q FROM j)
+SELECT record_id, concat_ws(',', CASE WHEN q IS NULL THEN 'web_knowledge_missing_quality_score' END, 'web_knowledge_missing_token_count', CASE WHEN coalesce(q, -1) < 3 THEN 'web_knowledge_below_quality_band' END) AS reasons,
+CASE WHEN q >= 4 THEN 'ge4' WHEN q >= 3 THEN 'ge3' ELSE 'lt3' END AS classifier_quality, coalesce(q, -1) AS web_knowledge_quality_mean FROM f""",
+)
+_register(
+    "rules_math_errors", "The rules of the profile nemotron_math on the raw records of mathematics.", _rules("math", PROFILES["nemotron_math"][2], buckets=("hard_error_risk",), metrics=("nemotron_math_hard_error_score",)),
+    _PAYLOADS.format(category="math") + """, f AS (SELECT record_id, CAST(p->>'$.hard_error_score' AS DOUBLE) AS e FROM j)
+SELECT record_id, concat_ws(',', CASE WHEN e >= 4 THEN 'nemotron_math_strict_hard_error' END, CASE WHEN e IS NULL THEN 'nemotron_math_missing_hard_error_signal' END) AS reasons,
+CASE WHEN e >= 4 THEN 'high' WHEN e IS NOT NULL THEN 'accepted' END AS hard_error_risk, e AS nemotron_math_hard_error_score FROM f""",
+)
+
+
+@query(_PAYLOADS.format(category="agentic") + """, m AS (SELECT record_id, unnest(json_extract(p, '$.messages[*]')) AS m, generate_subscripts(json_extract(p, '$.messages[*]'), 1) AS i FROM j),
+t AS (SELECT record_id, CAST(i - 1 AS INT) AS turn, m->>'$.role' AS role, m->>'$.content' AS content FROM m),
+s AS (SELECT *, string_agg(concat_ws(': ', role, content), chr(10)) OVER (PARTITION BY record_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS state FROM t)
+SELECT record_id, turn, coalesce(state, '') AS state, content AS action FROM s WHERE role = 'assistant'""")
+def assistant_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is said before each assistant turn of the traces, and the turn."""
+    turns = raw(spark, sf_dir, "agentic").select(F.col("seq").alias("record_id"), F.posexplode("messages").alias("turn", "m")).select("record_id", "turn", "m.role", "m.content")
+    return evaluation.turn_pairs(turns, "record_id", "turn", "role", "content")
+
+
 @query()
 def step_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows seen and decisions changed at each step for general text."""
     return step_counts(clean(general_records(spark, sf_dir), "pretrain", "general_text"), steps_of("pretrain", "general_text"))
 
 
+def through(records: DataFrame, own: list[Step], category: str, **config) -> DataFrame:
+    """Records after these steps, still with their state."""
+    for position, one in enumerate(own):
+        records = apply_step(records, one, position, category, dict(config, _category=category))
+    return records
+
+
+def joined(name: str) -> Column:
+    return F.array_join(name, ",").alias(name)
+
+
 @query("""SELECT doc_id, CASE WHEN text IS NULL OR length(text) = 0 THEN 'empty_training_text' WHEN length(text) < 16 THEN 'too_short'
-WHEN length(text) > 2000000 THEN 'too_long' ELSE 'ok' END AS result FROM documents""")
+WHEN length(text) > 2000000 THEN 'too_long' ELSE '' END AS reasons FROM documents""")
 def integrity_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.length(F.coalesce("text", F.lit("")))
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(size == 0, "empty_training_text").when(size < 16, "too_short").when(size > 2_000_000, "too_long").otherwise("ok").alias("result"))
+    return through(general_records(spark, sf_dir), [step(steps.validate_basic_integrity)], "general_text").select(F.col("seq").alias("doc_id"), joined("reasons"))
 
 
-@query("SELECT doc_id, coalesce(source, '') = '' AS missing_source FROM documents")
+@query("""SELECT doc_id, CASE WHEN coalesce(source, '') = '' THEN 'missing_license,missing_source' ELSE 'missing_license' END AS reasons,
+CASE WHEN coalesce(source, '') = '' THEN 'missing_license,missing_source' ELSE 'missing_license' END AS flags FROM documents""")
 def provenance_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", (F.coalesce("source", F.lit("")) == "").alias("missing_source"))
+    """Documents carry no licence, so each is flagged for it where one is required."""
+    checked = through(general_records(spark, sf_dir), [step(steps.validate_provenance)], "general_text", require_license=True)
+    return checked.select(F.col("seq").alias("doc_id"), joined("reasons"), joined("flags"))
+
+
+_SECRET_SQL = f"""coalesce(regexp_matches(text, '{steps.SECRET.replace("'", "''")}'), false)"""
 
 
-@query(rf"""SELECT doc_id, coalesce(regexp_matches(text, '{steps.SECRET.replace("'", "''")}'), false) AS possible_secret FROM documents""")
+@query(f"SELECT doc_id, {_SECRET_SQL} AS possible_secret FROM documents")
 def secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", steps.like(F.col("text"), steps.SECRET).alias("possible_secret"))
+    checked = through(general_records(spark, sf_dir), [step(steps.scan_sensitive_content)], "general_text")
+    return checked.select(F.col("seq").alias("doc_id"), F.array_contains("flags", "possible_secret").alias("possible_secret"))
 
 
-@query("SELECT doc_id, coalesce(contains(lower(text), 'railway timetable') OR contains(lower(text), 'clinic record'), false) AS sensitive_term FROM documents")
+@query(f"""SELECT doc_id, concat_ws(',', CASE WHEN {_SECRET_SQL} THEN 'possible_secret' END,
+CASE WHEN contains(lower(text), 'railway timetable') OR contains(lower(text), 'clinic record') THEN 'sensitive_term' END) AS flags FROM documents""")
 def sensitive_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    low = F.lower("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.contains(low, F.lit("railway timetable")) | F.contains(low, F.lit("clinic record")), F.lit(False)).alias("sensitive_term"))
+    checked = through(general_records(spark, sf_dir), [step(steps.scan_sensitive_content)], "general_text", sensitive_terms=["Railway Timetable", "clinic record", ""])
+    return checked.select(F.col("seq").alias("doc_id"), joined("flags"))
 
 
 @query("""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY sha256(text) ORDER BY doc_id) AS r FROM documents WHERE text <> '') WHERE r > 1""")
@@ -142,23 +270,42 @@ def length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("candidate_id", steps.length_label(F.col("n_tokens"), steps.LENGTHS).alias("length"), prep.base_bucket(F.col("n_tokens")).alias("base"))
 
 
-@query("""SELECT doc_id, CASE WHEN quality_mean IS NULL THEN 'review' WHEN quality_mean < 2 THEN 'drop' WHEN quality_mean < 3 THEN 'review' ELSE 'keep' END AS decision FROM documents""")
+@query("""WITH q AS (SELECT doc_id, quality_mean AS q, coalesce(source, '') = (SELECT max(source) FROM documents) AS own FROM documents)
+SELECT doc_id, CASE WHEN q IS NULL THEN CASE WHEN own THEN '' ELSE 'missing_quality_score' END WHEN q < CASE WHEN own THEN 1.5 ELSE 2 END THEN 'quality_score_below_drop_threshold'
+WHEN q < CASE WHEN own THEN 2.5 ELSE 3 END THEN 'quality_score_below_keep_threshold' ELSE '' END AS reasons, q AS quality_score FROM q""")
 def quality_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = F.col("quality_mean")
-    return table(spark, sf_dir, "documents").select("doc_id", F.when(q.isNull(), "review").when(q < 2, "drop").when(q < 3, "review").otherwise("keep").alias("decision"))
+    """The last feed by name has a policy of its own, all others the default."""
+    own = table(spark, sf_dir, "documents").agg(F.max("source")).first()[0]
+    policies = {"default": {"score_field": "quality_mean", "keep_min": 3.0, "review_min": 2.0, "require_score": True}, own: {"keep_min": 2.5, "review_min": 1.5}}
+    checked = through(general_records(spark, sf_dir), [step(steps.apply_quality_policy)], "general_text", quality_policies=policies, _has_score=True)
+    return checked.select(F.col("seq").alias("doc_id"), joined("reasons"), F.col("m_quality_score").alias("quality_score"))
+
+
+@query("""WITH d AS (SELECT doc_id, coalesce(length(text), 0) AS n, coalesce(source, '') = '' AS m FROM documents),
+a AS (SELECT count(*) AS seen, count(*) FILTER (n < 16) AS dropped, count(*) FILTER (n > 2000000) AS review FROM d),
+b AS (SELECT count(*) AS seen, count(*) FILTER (m AND n <= 2000000) AS review FROM d WHERE n >= 16)
+SELECT 0 AS position, 'validate_basic_integrity' AS step, seen, review, dropped FROM a UNION ALL SELECT 1, 'validate_provenance', seen, review, 0 FROM b""")
+def check_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows seen and decisions changed by two steps."""
+    own = [step(steps.validate_basic_integrity), step(steps.validate_provenance)]
+    return step_counts(through(general_records(spark, sf_dir), own, "general_text"), own)
 
 
 _BLANK = r"[\s\x0b\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 
 
 @query(rf"""WITH l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: length(regexp_replace(x, '{_BLANK}', '', 'g')) > 0) AS x FROM documents WHERE text IS NOT NULL)
-SELECT doc_id, CAST(len(x) AS INT) AS lines, CAST(len(list_distinct(x)) AS INT) AS distinct_lines FROM l""")
+SELECT doc_id, round(CASE WHEN len(x) > 0 THEN len(list_distinct(x)) / len(x) END, 9) AS share, coalesce(len(list_distinct(x)) / nullif(len(x), 0) < 0.45, false) AS repetitive FROM l""")
 def line_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = F.filter(tx.lines(F.col("text")), lambda x: F.length(tx.strip(x)) > 0)
-    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.size(kept).alias("lines"), F.size(F.array_distinct(kept)).alias("distinct_lines"))
+    share = tx.line_repetition(F.col("text"))
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.round(share, 9).alias("share"), below(share, 0.45).alias("repetitive"))
 
 
-@query()
+@query("""WITH l AS (SELECT doc_id, regexp_extract_all(lower(text), '[A-Za-z0-9_]+|[\\x{4e00}-\\x{9fff}]') AS l FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM l),
+g AS (SELECT doc_id, concat_ws(' ', w, lead(w, 1) OVER o, lead(w, 2) OVER o, lead(w, 3) OVER o, lead(w, 4) OVER o) AS g, lead(w, 4) OVER o AS last FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+s AS (SELECT doc_id, count(*) >= 120 AND 1 - count(DISTINCT g) FILTER (last IS NOT NULL) / greatest(count(last), 1) > 0.2 AS repeats FROM g GROUP BY 1)
+SELECT doc_id, coalesce(repeats, false) AS repeats FROM l LEFT JOIN s USING (doc_id)""")
 def ngram_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", tx.repeats_itself(F.col("text")).alias("repeats"))
 
@@ -168,7 +315,24 @@ def compression_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", tx.compression_ratio("text").alias("ratio"))
 
 
-@query()
+_NAME = "regexp_extract(lower(regexp_replace(replace(path, chr(92), '/'), '(/|/\\.)+$', '')), '([^/]*)$', 1)"
+_WHOLE = "('/' || lower(regexp_replace(replace(path, chr(92), '/'), '^/+', '')))"
+
+
+def _listed(values) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _any_of(marks) -> str:
+    return " OR ".join(f"contains(whole, '{m}')" for m in marks)
+
+
+@query(f"""WITH n AS (SELECT doc_id, {_NAME} AS name, {_WHOLE} AS whole FROM documents WHERE path IS NOT NULL),
+s AS (SELECT *, regexp_extract(name, '(?s)[^.].*?(\\.[^.]+)$', 1) AS suffix FROM n),
+l AS (SELECT *, CASE {" ".join(f"WHEN name = '{k}' THEN '{v}'" for k, v in profiles.LANGUAGE_BY_NAME.items())} {" ".join(f"WHEN suffix = '{k}' THEN '{v}'" for k, v in profiles.LANGUAGE_BY_SUFFIX.items())} END AS language FROM s)
+SELECT doc_id, language, CASE WHEN regexp_matches(name, '\\.min\\.(js|css|html)$') THEN 'minified_asset' WHEN list_has_any(string_split(whole, '/'), [{_listed(profiles.REJECTED_DIRECTORIES)[1:-1]}]) THEN 'vendor_or_build_path'
+WHEN name IN {_listed(profiles.LOCK_FILES)} THEN 'lockfile' WHEN suffix IN {_listed(profiles.BINARY_SUFFIXES)} THEN 'binary_extension' WHEN {_any_of(profiles.SNAPSHOT_MARKS)} THEN 'fixture_or_snapshot'
+WHEN {_any_of(profiles.REPORT_MARKS)} THEN 'machine_report' WHEN language IS NULL THEN 'unsupported_file_type' END AS reason FROM l""")
 def source_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of each source file, and why it is rejected, if it is."""
     docs = table(spark, sf_dir, "documents").where("path is not null")
@@ -218,9 +382,27 @@ def prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.prefix_mixes(rows, targets, 7)
 
 
-@query()
+@query("""WITH RECURSIVE u AS (SELECT candidate_id, min(lower(trim(profile))) AS source, min(n_tokens) AS n FROM mix_candidates WHERE n_tokens > 0 GROUP BY 1),
+o AS (SELECT source, n, row_number() OVER (PARTITION BY source ORDER BY candidate_id) - 1 AS r FROM u WHERE source IS NOT NULL),
+w AS (SELECT source, r, n, CAST(0 AS BIGINT) AS s, CAST(n AS BIGINT) AS held FROM o WHERE r = 0 UNION ALL
+SELECT o.source, o.r, o.n, CASE WHEN w.held + o.n > 100000 THEN o.r ELSE w.s END, CAST(CASE WHEN w.held + o.n > 100000 THEN o.n ELSE w.held + o.n END AS BIGINT) FROM w JOIN o ON o.source = w.source AND o.r = w.r + 1)
+SELECT source, s AS row_start, max(r) + 1 AS row_end, max(held) AS tokens FROM w GROUP BY source, s""")
 def microshards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prep.microshards(_usable(spark, sf_dir).withColumnRenamed("candidate_id", "row"), 100_000, tokens="n_tokens")
+    """Runs of about 100,000 tokens of each profile's candidates, numbered within the profile."""
+    placed = prep.positioned(_usable(spark, sf_dir), ["source", "candidate_id"])
+    first = placed.groupBy("source").agg(F.min("position").alias("_first"))
+    rows = placed.join(first, "source").select("source", (F.col("position") - F.col("_first")).alias("row"), "n_tokens")
+    return prep.microshards(rows, 100_000, tokens="n_tokens")
+
+
+@query("""WITH c AS (SELECT source, count(*) AS n FROM (SELECT candidate_id, min(lower(trim(profile))) AS source FROM mix_candidates WHERE n_tokens > 0 GROUP BY 1) WHERE source IS NOT NULL GROUP BY 1),
+t AS (SELECT source, CAST(n AS HUGEINT) * 9973 AS x, CAST(sum(n) OVER () AS HUGEINT) AS t FROM c),
+f AS (SELECT source, x // t AS q, x % t AS rest, 9973 - sum(x // t) OVER () AS more FROM t)
+SELECT source, CAST(q + CASE WHEN row_number() OVER (ORDER BY rest DESC, source) <= more THEN 1 ELSE 0 END AS BIGINT) AS quota FROM f""")
+def mix_quotas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """9,973 places shared among the profiles by their numbers of candidates; one row a profile."""
+    weights = {r.source: r["count"] for r in _usable(spark, sf_dir).groupBy("source").count().collect()}
+    return spark.createDataFrame(sorted(prep.quotas(weights, 9973).items()), "source string, quota long")
 
 
 PACKED = 8192
@@ -239,7 +421,14 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("shard", "bin", F.size("tokens").alias("tokens"), F.size("source_ids").alias("samples"))
 
 
-@query()
+@query("""WITH s AS (SELECT DISTINCT sample_id, strlen(text) AS n FROM samples WHERE text <> '')
+SELECT count(*) AS samples, CAST(sum(n) AS BIGINT) AS tokens, 0 AS overfull FROM s WHERE n <= 8192""")
+def packing_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples and tokens that ``packing`` placed, and sequences above their capacity."""
+    return packing(spark, sf_dir).agg(F.sum("samples").alias("samples"), F.sum("tokens").alias("tokens"), F.count_if(F.col("tokens") > PACKED).cast("int").alias("overfull"))
+
+
+@query("""SELECT DISTINCT sample_id, CAST(strlen(coalesce(text, '')) AS INT) AS length FROM samples WHERE strlen(coalesce(text, '')) NOT BETWEEN 1 AND 8192""")
 def packing_unpacked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples that ``packing`` puts into no sequence, with their length: longer than 8,192 bytes, or empty."""
     samples, ids = _sample_bytes(spark, sf_dir)
@@ -254,10 +443,13 @@ def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", prep.split_of(F.col("position"), ids.count(), "90,5,5").alias("split"))
 
 
-@query()
+@query("""WITH d AS (SELECT doc_id, strlen(text) + 1 AS n FROM documents WHERE text <> ''),
+p AS (SELECT doc_id, CAST(sum(n) OVER (ORDER BY doc_id) AS BIGINT) AS b, CAST(n AS BIGINT) AS n FROM d),
+s AS (SELECT doc_id, b - n AS a, b, unnest(range((b - n) // 2048, (b - 1) // 2048 + 1)) AS sample FROM p)
+SELECT sample, doc_id, greatest(a, sample * 2048) - a AS "begin", least(b, (sample + 1) * 2048) - a AS "end" FROM s""")
 def sample_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of 2,048 byte tokens over all documents in order."""
-    return prep.token_windows(sequences.encode(table(spark, sf_dir, "documents"), ["text"], eod=256), 2048)
+    return prep.token_windows(table(spark, sf_dir, "documents").where("text <> ''"), 2048, size=F.octet_length("text") + 1)
 
 
 @query("""WITH c AS (SELECT dataset, count(*) AS n, count(*) FILTER (decision = 'keep') AS c FROM samples GROUP BY 1)
@@ -281,6 +473,20 @@ def lexical_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.curriculum(table(spark, sf_dir, "documents"), "text").select("doc_id", "complexity")
 
 
+@query("""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY quality_mean, doc_id) AS r FROM documents WHERE quality_mean IS NOT NULL)
+WHERE r <= (SELECT count(*) // 2 FROM documents)""")
+def lowest_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The half of all documents with the lowest score, as if it were one of toxicity."""
+    return evaluation.least_toxic(table(spark, sf_dir, "documents").select("doc_id", "quality_mean"), "quality_mean", F.col("doc_id")).select("doc_id")
+
+
+@query("""WITH f AS (SELECT p_partkey * 37 AS f FROM part)
+SELECT a.f AS a, b.f AS b, CAST(bit_count(xor(a.f, b.f)) AS INT) AS distance FROM f a JOIN f b ON a.f < b.f AND bit_count(xor(a.f, b.f)) <= 3""")
+def near_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers within three bits of each other: the join of near fingerprints on values that have such pairs."""
+    return dedup.near_pairs(table(spark, sf_dir, "part").select((F.col("p_partkey").cast("long") * 37).alias("fingerprint")))
+
+
 @query()
 def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share 13-grams with the question records of the instruction category, as if these were a benchmark."""

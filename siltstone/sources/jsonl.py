@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltstone.functions.text import canonical_json, changed_json
 
@@ -18,12 +19,17 @@ DECISIONS = ("keep", "review", "drop")
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file, position, line)`` of the lines of the files under ``path``; ``.gz`` by Spark's codec, ``.zst`` in Arrow batches.
 
-    Positions order the lines of a file, and files by name; a compressed file is one task's work.
+    ``position`` is the line's number in its file, from 0. A compressed file is one task's
+    work. Of other files the lines of each block are counted first, so that large files stay divided.
     """
     if path.endswith(".zst"):
         return _zstd_lines(spark, path)
-    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("position"), F.col("value").alias("line"))
-    return rows
+    meta = F.col("_metadata")
+    block = F.struct(meta["file_path"].alias("file"), meta["file_block_start"].alias("block"))
+    rows = spark.read.text(path).select(block.alias("b"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line")).select("b.*", "_id", "line")
+    counts = rows.groupBy("file", "block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = counts.select("file", "block", (F.sum("_n").over(Window.partitionBy("file").orderBy("block")) - F.col("_n") - F.col("_first")).alias("_shift"))
+    return rows.join(before, ["file", "block"]).select("file", (F.col("_id") + F.col("_shift")).alias("position"), "line")
 
 
 def _zstd_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -62,7 +68,7 @@ def with_positions(df: DataFrame, order: list[str], name: str = "seq") -> DataFr
     """Dense positions from 0 in the order of the columns, without gathering the rows in one task."""
     from siltstone.operators.prep import positioned
 
-    return positioned(df.orderBy(*order), name)
+    return positioned(df, order, name)
 
 
 def record_hash(data: Column) -> Column:

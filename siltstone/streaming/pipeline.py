@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import simhash, text_digest
-from siltstone.operators.dedup import near_repeats
+from siltstone.operators.dedup import near_pairs, near_repeats
 
 
 def digests(stream: DataFrame, text: str = "text") -> DataFrame:
@@ -22,14 +22,21 @@ def first_seen(stream: DataFrame, text: str = "text", event_time: str | None = N
 
 
 def near_dedup_batch(table: str, text: str = "text", seq: str = "seq", threshold: int = 3, bands: int = 4):
-    """A ``foreachBatch`` function: rows that no earlier row is near to, batch by batch, are appended to ``table``/rows; all fingerprints to ``table``/prints."""
+    """A ``foreachBatch`` function: rows that no earlier row is near to, batch by batch, are appended to ``table``/rows; all fingerprints to ``table``/prints.
+
+    A batch meets the different fingerprints of earlier batches in the tables of
+    blocks; pairs within the history are never formed again.
+    """
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         prints = batch.select(seq, simhash(F.col(text)).alias("fingerprint")).withColumn("epoch", F.lit(epoch))
         prints.write.mode("overwrite").parquet(f"{table}/prints/epoch={epoch}")
-        known = spark.read.parquet(f"{table}/prints").where(F.col("epoch") <= epoch).select(seq, "fingerprint")
-        repeats = near_repeats(known, threshold, bands, seq)
+        known = spark.read.parquet(f"{table}/prints")
+        own, old = known.where(F.col("epoch") == epoch), known.where(F.col("epoch") < epoch)
+        repeats = near_repeats(own.select(seq, "fingerprint"), threshold, bands, seq)
+        met = near_pairs(own, threshold, bands, old).select(F.col("a").alias("fingerprint")).unionByName(own.select("fingerprint").join(old.select("fingerprint").distinct(), "fingerprint", "left_semi"))
+        repeats = repeats.unionByName(own.join(met.distinct(), "fingerprint", "left_semi").select(seq)).distinct()
         batch.join(repeats, seq, "left_anti").write.mode("overwrite").parquet(f"{table}/rows/epoch={epoch}")
 
     return write
