@@ -250,3 +250,68 @@ def repeats_itself(text: Column, least: int = 120, n: int = 5, share: float = 0.
     """Whether more than ``share`` of the word n-grams of a text of ``least`` words occurred before in it."""
     again = lambda g: 1 - F.size(F.array_distinct(g)) / F.greatest(F.size(g), F.lit(1)) > share
     return let(word_units(F.lower(text)), lambda w: (F.size(w) >= least) & let(ngrams(w, n), again))
+
+
+@F.pandas_udf(T.StringType())
+def without_repeated_lines(values: pd.Series) -> pd.Series:
+    """A text without lines that occurred in it before; blank lines stay."""
+
+    def one(text: str) -> str:
+        seen: set[str] = set()
+        kept = []
+        for line in text.split("\n"):
+            bare = line.strip()
+            if not bare or bare not in seen:
+                kept.append(line)
+                seen.add(bare)
+        return "\n".join(kept)
+
+    return _each(values, one)
+
+
+def cut_bytes(text: Column, most: int = 20_480) -> Column:
+    """The longest beginning of a text of at most so many bytes of UTF-8."""
+
+    @F.pandas_udf(T.StringType())
+    def cut(values: pd.Series) -> pd.Series:
+        return _each(values, lambda v: v.encode("utf-8", "surrogatepass")[:most].decode("utf-8", "ignore"))
+
+    return F.when(F.octet_length(text) > most, cut(text)).otherwise(text)
+
+
+def one_line(text: Column) -> Column:
+    """A text with single blanks for white space, and without the blank that stands before a full stop in tokenised text."""
+    flat = F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(" ")), r"\s+", " ")
+    for _ in range(3):
+        flat = F.replace(flat, F.lit(" . "), F.lit(". "))
+    return flat
+
+
+#: What identifies persons or machines, and the label that takes its place.
+PRIVATE = {
+    "email": r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+",
+    "ip": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\b",
+    "phone": r"\+[0-9]{1,3}[ \-]?(?:\([0-9]{1,4}\)[ \-]?)?[0-9]{2,4}(?:[ \-]?[0-9]{2,4}){2,4}",
+    "key": r"\b(?:sk|pk|ghp|xox[abp])[_\-][A-Za-z0-9_\-]{16,}",
+}
+
+
+def private_counts(text: Column) -> Column:
+    """How often a text holds each kind of PRIVATE."""
+    return F.struct(*[F.regexp_count(F.coalesce(text, F.lit("")), F.lit(p)).alias(n) for n, p in PRIVATE.items()])
+
+
+def redacted(text: Column) -> Column:
+    """The text with ``[EMAIL]``, ``[IP]``, ``[PHONE]`` or ``[KEY]`` in place of what PRIVATE finds, in that order."""
+    for name, pattern in PRIVATE.items():
+        text = F.regexp_replace(text, pattern, f"[{name.upper()}]")
+    return text
+
+
+def thought_and_answer(text: Column) -> Column:
+    """What a model thought and what it answered: the thought ends at the first closing tag, and begins at the text's start if no tag opens it. Without a closing tag all is the answer."""
+    end = F.instr(text, "</think>")
+    before = F.substring(text, F.lit(1), end - 1)
+    opened = F.instr(before, "<think>")
+    thought = F.when(opened > 0, F.substring(before, opened + 7, F.length(before))).otherwise(before)
+    return F.struct(F.when(end > 0, strip(thought)).alias("thought"), F.when(end > 0, strip(F.substring(text, end + 8, F.length(text)))).otherwise(text).alias("answer"))

@@ -117,7 +117,7 @@ def microshards(rows: DataFrame, target: int, source: str = "source", row: str =
                 total = np.concatenate([[0], np.cumsum(sizes[a:b])])
                 at = 0  # rows of this stretch before the open run's next one
                 while at < b - a:
-                    fits = int(np.searchsorted(total, total[at] + target - held, "right")) - 1
+                    fits = max(at, int(np.searchsorted(total, total[at] + target - held, "right")) - 1)
                     if fits < b - a and held + total[fits] == total[at]:  # a run without tokens takes any row
                         fits += 1
                     if fits > at:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 IGNORE = -100
 
@@ -144,3 +146,136 @@ def packed_errors(tokens: Column, targets: Column, cu_seqlens: Column, length: i
         F.when(F.size(tokens) != F.size(targets), "lengths differ").when(F.size(tokens) > length + 1, "too long").when(F.element_at(cu_seqlens, 1) != 0, "does not begin at 0")
         .when(F.element_at(cu_seqlens, -1) != F.size(tokens), "does not end at the length").when(F.exists(steps, lambda x: ~x), "not in order")
     )
+
+
+# --- the same over frames
+
+
+def by_row(df: DataFrame, columns: Sequence[str], key: str, made: Callable[..., tuple], schema: str) -> DataFrame:
+    """``(key, ...)`` of ``schema``: what ``made`` gives for the key and the columns of each row, in Arrow batches."""
+    kind = df.schema[key].dataType.simpleString()
+    whole = f"`{key}` {kind}, {schema}"
+    names = T.StructType.fromDDL(whole).names
+    arrow = to_arrow_schema(T.StructType.fromDDL(whole))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [made(*values) for values in zip(*(c.to_pylist() for c in batch.columns))]
+            cells = list(zip(*rows)) or [()] * (len(names) - 1)
+            yield pa.record_batch([batch.column(0), *[pa.array(list(c), arrow.field(i + 1).type) for i, c in enumerate(cells)]], names)
+
+    return df.select(key, *columns).mapInArrow(run, whole)
+
+
+def infill(df: DataFrame, rate: float, spm_rate: float, prefix: int, middle: int, suffix: int, pad: int, eod: int | None = None, seed: int = 0, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """``(key, ids)``: the ids of each row rearranged for infilling, as long as they were; a null stays null."""
+    return by_row(df, [ids], key, lambda k, x: (None if x is None else infilled(x, seeded(seed, k), rate, spm_rate, prefix, middle, suffix, pad, eod),), "ids array<int>")
+
+
+def mask_tokens(df: DataFrame, rate: float, mask: int, vocabulary: int, longest: int = 3, seed: int = 0, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """``(key, ids, targets)``: the ids of each row with n-grams hidden, and what was hidden."""
+    return by_row(df, [ids], key, lambda k, x: (None, None) if x is None else masked(x, seeded(seed, k), rate, mask, vocabulary, longest), "ids array<int>, targets array<int>")
+
+
+def corrupt_spans(df: DataFrame, rate: float, sentinels: Sequence[int], bos: int, eos: int, mean: int = 3, seed: int = 0, key: str = "doc_id", ids: str = "ids") -> DataFrame:
+    """``(key, encoder, decoder, output)``: the ids of each row with sentinels for spans, and the spans after their sentinels."""
+    return by_row(df, [ids], key, lambda k, x: (None,) * 3 if x is None else span_corrupted(x, seeded(seed, k), rate, sentinels, bos, eos, mean), "encoder array<int>, decoder array<int>, output array<int>")
+
+
+def conversation_samples(df: DataFrame, prefixes: dict[str, str], end: str, tokenize: Callable[[str], list[int]] = byte_tokens, key: str = "doc_id", messages: str = "messages") -> DataFrame:
+    """``(key, ids, targets, error)``: tokens of each conversation; of one that cannot be used only what is wrong with it."""
+
+    def one(_: object, turns: list[dict] | None) -> tuple:
+        try:
+            return *conversation_tokens(turns or [], tokenize, prefixes, end), None
+        except ValueError as wrong:
+            return None, None, str(wrong)
+
+    return by_row(df, [messages], key, one, "ids array<int>, targets array<int>, error string")
+
+
+def sentence_pair(parts: Sequence[Sequence[int]], rng: np.random.Generator, room: int, cls: int, sep: int) -> tuple[list[int], list[int], bool] | None:
+    """Two runs of sentences as ``cls A sep B sep`` with their kinds, and whether they were swapped; None for fewer than two sentences.
+
+    They part at a random sentence, are swapped with a chance of a half, and lose
+    tokens of the longer one at a random end until they fit.
+    """
+    if len(parts) < 2:
+        return None
+    pivot = int(rng.integers(1, len(parts)))
+    pair = [[t for p in parts[:pivot] for t in p], [t for p in parts[pivot:] for t in p]]
+    swapped = bool(rng.random() < 0.5)
+    if swapped:
+        pair.reverse()
+    while (over := len(pair[0]) + len(pair[1]) - room) > 0:
+        longer = pair[0] if len(pair[0]) > len(pair[1]) else pair[1]
+        many = min(over, max(1, abs(len(pair[0]) - len(pair[1]))))
+        head = int(rng.binomial(many, 0.5))
+        longer[:] = longer[head : len(longer) - (many - head)]
+    a, b = pair
+    return [cls, *a, sep, *b, sep], [0] * (len(a) + 2) + [1] * (len(b) + 1), swapped
+
+
+def sentence_pairs(df: DataFrame, room: int, cls: int, sep: int, mask: int, vocabulary: int, rate: float = 0.15, seed: int = 0, key: str = "doc_id", parts: str = "parts") -> DataFrame:
+    """``(key, ids, kinds, swapped, targets)``: a pair of runs of sentences of each row, tokens hidden by ``masked``; rows of fewer than two sentences have nulls."""
+
+    def one(k: object, given: list[list[int]] | None) -> tuple:
+        rng = seeded(seed, k)
+        made = sentence_pair(given or [], rng, room, cls, sep)
+        if made is None:
+            return None, None, None, None
+        ids, kinds, swapped = made
+        hidden, targets = masked(ids, rng, rate, mask, vocabulary)
+        special = [t in (cls, sep) for t in ids]
+        return [a if s else h for a, h, s in zip(ids, hidden, special)], kinds, swapped, [IGNORE if s else t for t, s in zip(targets, special)]
+
+    return by_row(df, [parts], key, one, "ids array<int>, kinds array<int>, swapped boolean, targets array<int>")
+
+
+def classified_pair(a: Column, b: Column | None, length: int, cls: int, sep: int, pad: int) -> Column:
+    """``cls A sep`` or ``cls A sep B sep``, cut to ``length`` with a ``sep`` last and padded; kinds, and 1 where there is no padding."""
+    first = F.concat(F.array(F.lit(cls)), a, F.array(F.lit(sep)))
+    whole = first if b is None else F.concat(first, b, F.array(F.lit(sep)))
+    cut = F.when(F.size(whole) > length, F.array_append(F.slice(whole, 1, length - 1), F.lit(sep))).otherwise(whole)
+    fill = lambda x, what: F.slice(F.concat(x, F.array_repeat(F.lit(what), length)), 1, length)
+    kinds = F.transform(cut, lambda _, i: F.when(i < F.size(first), 0).otherwise(1))
+    return F.struct(fill(cut, pad).alias("ids"), fill(kinds, 0).alias("kinds"), fill(F.transform(cut, lambda _: F.lit(1)), 0).alias("seen"))
+
+
+def stripped(ids: Column, pad: int) -> Column:
+    """The ids without padding at their end."""
+    last = F.array_max(F.transform(ids, lambda x, i: F.when(x != pad, i + 1).otherwise(0)))
+    return F.slice(ids, F.lit(1), F.coalesce(last, F.lit(0)))
+
+
+def streamed(df: DataFrame, length: int, key: str = "doc_id", ids: str = "ids", shards: int | None = None) -> DataFrame:
+    """``(shard, sample, ids, keys)``: rows joined in order of the key until they have ``length`` + 1 ids, which then are cut there; a shorter rest gives no sample.
+
+    Each of ``shards`` (by default as many as there are shuffle partitions) joins its own rows.
+    """
+    count = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, keys, shard, sample = [], [], None, 0
+        for batch in batches:
+            out: list[tuple] = []
+            for part, k, x in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != shard:
+                    held, keys, shard, sample = [], [], part, 0
+                held += x
+                keys.append(k)
+                if len(held) > length:
+                    out.append((shard, sample, held[: length + 1], keys))
+                    held, keys, sample = [], [], sample + 1
+            names = ["shard", "sample", "ids", "keys"]
+            kinds = [pa.int32(), pa.int64(), pa.list_(pa.int32()), pa.list_(batch.column(1).type)]
+            yield pa.record_batch([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names)
+
+    rows = df.where(F.size(ids) > 0).select(F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias("shard"), key, ids)
+    return rows.repartition("shard").sortWithinPartitions("shard", key).mapInArrow(run, f"shard int, sample long, ids array<int>, keys array<{kind}>")
+
+
+def usable_turns(messages: Column) -> Column:
+    """Whether a conversation has two turns and doesn't begin with the assistant."""
+    return F.coalesce((F.size(messages) >= 2) & (F.element_at(messages, 1)["role"] != "assistant"), F.lit(False))

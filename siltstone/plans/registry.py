@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.functions import text as tx
-from siltstone.operators import dedup, evaluation, prep, profiles, sequences, steps
+from siltstone.operators import corpus, dedup, evaluation, prep, profiles, sequences, steps
 from siltstone.operators.profiles import PROFILES, language_for_path, reject_path_reason
 from siltstone.operators.steps import step
 from siltstone.plans.pipeline import clean, step_counts, steps_of
@@ -72,6 +72,9 @@ def _category_query(category: str, stage: str | None, profile: str | None = None
 
 for _category in CATEGORIES:
     query()(_category_query(_category, None))
+for _stage in ("midtrain", "posttrain"):
+    for _category in ("code", "web", "agentic", "instruction", "math", "reasoning"):
+        QUERIES[f"{_stage}_{_category}"] = _category_query(_category, _stage)
 for _name, (_stage, _category, _) in PROFILES.items():
     query()(_category_query(_category, _stage, _name))
 
@@ -452,6 +455,62 @@ def sample_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.token_windows(table(spark, sf_dir, "documents").where("text <> ''"), 2048, size=F.octet_length("text") + 1)
 
 
+def _few_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bytes of each sample's text."""
+    return _sample_bytes(spark, sf_dir)[1].withColumn("original", F.col("ids"))
+
+
+_BYTES_SQL = "SELECT DISTINCT sample_id, CAST(strlen(text) AS INT) AS n, TRUE AS intact FROM samples WHERE text <> ''"
+
+
+@query(_BYTES_SQL)
+def infilled_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples rearranged for infilling: as long as before, and no byte more often than before."""
+    rows = _few_bytes(spark, sf_dir)
+    made = sequences.infill(rows, 0.5, 0.5, 300, 301, 302, 303, key="sample_id").join(rows.select("sample_id", "original"), "sample_id")
+    return made.select("sample_id", F.size("ids").alias("n"), (F.size(F.array_except("ids", "original")) <= 4).alias("intact"))
+
+
+@query(_BYTES_SQL)
+def masked_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples with hidden tokens, which their targets restore."""
+    rows = _few_bytes(spark, sf_dir)
+    made = sequences.mask_tokens(rows, 0.15, 300, 256, key="sample_id").join(rows.select("sample_id", "original"), "sample_id")
+    restored = F.zip_with("ids", "targets", lambda x, y: F.when(y == sequences.IGNORE, x).otherwise(y))
+    return made.select("sample_id", F.size("ids").alias("n"), (restored == F.col("original")).alias("intact"))
+
+
+@query(_BYTES_SQL)
+def corrupted_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples whose spans stand behind sentinels; input and output together have each byte once."""
+    rows = _few_bytes(spark, sf_dir)
+    made = sequences.corrupt_spans(rows, 0.15, range(1000, 1100), 300, 301, key="sample_id").join(rows.select("sample_id", "original"), "sample_id")
+    together = F.array_sort(F.filter(F.concat("encoder", "output"), lambda x: x < 300))
+    return made.select("sample_id", F.size(together).alias("n"), (together == F.array_sort("original")).alias("intact"))
+
+
+@query("""WITH s AS (SELECT DISTINCT sample_id FROM samples WHERE sample_id IS NOT NULL), p AS (SELECT sample_id, row_number() OVER (ORDER BY sample_id) - 1 - 37 AS a, (SELECT count(*) FROM s) AS n FROM s)
+SELECT sample_id, a // 12 AS step, CAST(a % 12 // 4 AS INT) AS rank, CAST(a % 4 AS INT) AS slot FROM p WHERE a >= 0 AND a < (n - 37) // 12 * 12""")
+def trainer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of four samples for each of three ranks, after 37 that were consumed before."""
+    placed = prep.positioned(table(spark, sf_dir, "samples").where("sample_id is not null").select("sample_id").distinct(), ["sample_id"])
+    taken = corpus.batches(F.col("position"), 4, 3, 37, placed.count())
+    return placed.select("sample_id", taken.alias("b")).where("b is not null").select("sample_id", "b.*")
+
+
+@query("""WITH d AS (SELECT sum(strlen(text)) * 2 AS n FROM documents WHERE text <> '') SELECT CAST(ceil(n / 4096.0) AS BIGINT) AS samples, CAST(ceil(n / 4096.0) AS BIGINT) - 1 AS last_place, CAST(n AS BIGINT) AS tokens FROM d""")
+def epoch_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of 4,096 byte tokens over two shuffled epochs: their number, the last place in the shuffled order, and all tokens."""
+    docs = table(spark, sf_dir, "documents").where("text <> ''").select("doc_id", F.octet_length("text").alias("n"))
+    pieces = corpus.sample_index(docs, 4096, 2, 7)
+    return pieces.agg(F.countDistinct("sample").alias("samples"), F.max("place").alias("last_place"), F.sum(F.col("end") - F.col("begin")).alias("tokens"))
+
+
+@query("SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all(coalesce(text, ''), '{p}')) AS INT) AS {n}" for n, p in tx.PRIVATE.items()) + " FROM documents")
+def private_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", tx.private_counts(F.col("text")).alias("c")).select("doc_id", "c.*")
+
+
 @query("""WITH c AS (SELECT dataset, count(*) AS n, count(*) FILTER (decision = 'keep') AS c FROM samples GROUP BY 1)
 SELECT dataset, CAST(n AS INT) AS attempts, CAST(c AS INT) AS correct, round(CASE WHEN n - c < 4 THEN 1.0 WHEN c = 0 THEN 0.0
 ELSE 1 - list_aggregate(list_transform(range(n - c + 1, n + 1), lambda i: 1 - 4.0::DOUBLE / i), 'product') END, 9) AS pass_at_4 FROM c WHERE n >= 4""")

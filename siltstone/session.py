@@ -63,6 +63,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file wherever the session's file systems reach; an earlier one is replaced."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
 def is_mounted(uri: str) -> bool:
     """Whether the path is one of a mounted file system."""
     return uri.startswith("file:") or "://" not in uri

@@ -6,11 +6,12 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.functions.text import canonical_json, changed_json
+from siltstone.session import write_text
 
 REQUIRED = ("dataset", "source_id", "stage", "category", "decision", "data")
 DECISIONS = ("keep", "review", "drop")
@@ -89,13 +90,14 @@ def released(cleaned: DataFrame) -> DataFrame:
 
 
 def write_jsonl(records: DataFrame, path: str) -> int:
-    """One JSON object a line with sorted keys; the number of lines."""
+    """One JSON object a line with sorted keys; the number of lines, counted while they are written."""
     names = sorted(c for c in records.columns if c != "data")
     whole = F.to_json(F.struct(*names), {"ignoreNullFields": "false"})
     line = canonical_json(F.concat(F.substring(whole, 1, 1), F.lit('"data":'), F.coalesce("data", F.lit("null")), F.lit(","), F.expr("substring(w, 2)"))) if "data" in records.columns else canonical_json(whole)
     rows = records.withColumn("w", whole) if "data" in records.columns else records
-    rows.select(line.alias("value")).write.text(path)
-    return records.sparkSession.read.text(path).count()
+    seen = Observation()
+    rows.select(line.alias("value")).observe(seen, F.count(F.lit(1)).alias("lines")).write.text(path)
+    return seen.get["lines"]
 
 
 def decision_counts(records: DataFrame) -> DataFrame:
@@ -109,9 +111,17 @@ def manifest(records: DataFrame, stage: str, output: str) -> dict:
     return {"stage": stage, "output": output, "total": sum(counts.values()), "decisions": counts}
 
 
-def write_manifest(path: str, content: dict) -> None:
+def manifest_text(content: dict) -> str:
+    return json.dumps(content, indent=2, sort_keys=True, ensure_ascii=False) + "\n"
+
+
+def write_manifest(path: str, content: dict, spark: SparkSession | None = None) -> None:
+    """The manifest as a file, by the session's file systems if one is given."""
+    if spark is not None:
+        write_text(spark, path, manifest_text(content))
+        return
     with open(path, "w", encoding="utf-8") as out:
-        out.write(json.dumps(content, indent=2, sort_keys=True, ensure_ascii=False) + "\n")
+        out.write(manifest_text(content))
 
 
 def file_checksums(spark: SparkSession, path: str) -> DataFrame:
