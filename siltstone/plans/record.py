@@ -162,7 +162,10 @@ class State:
 
     def text(self) -> Column:
         """The non-empty string fields of the record's text, one after the other."""
-        parts = F.array(*[F.when(F.array_contains(self.get("text_fields"), n), self.string(n)) for n in TEXT_OF.get(self.category, ("text",))])
+        names = TEXT_OF.get(self.category, ("text",))
+        if len(names) == 1:
+            return F.coalesce(F.when(F.array_contains(self.get("text_fields"), names[0]), self.string(names[0])), F.lit(""))
+        parts = F.array(*[F.when(F.array_contains(self.get("text_fields"), n), self.string(n)) for n in names])
         return F.array_join(F.filter(parts, lambda x: x.isNotNull() & (x != "")), "\n")
 
     def mark(self, when: Column, decision: int, reason: str | Column) -> None:

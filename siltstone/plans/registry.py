@@ -13,7 +13,7 @@ from siltstone.operators.profiles import PROFILES, language_for_path, reject_pat
 from siltstone.operators.steps import step
 from siltstone.plans.pipeline import clean, step_counts, steps_of
 from siltstone.plans.record import CATEGORIES, Step, adapted, apply_step, below, with_state
-from siltstone.session import staged
+from siltstone.session import spread, staged
 from siltstone.sources import jsonl
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,7 +40,7 @@ def shape(cleaned: DataFrame) -> DataFrame:
 
 
 def general_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     key = F.coalesce(F.when(F.col("doc_id") != 0, F.col("doc_id").cast("string")), F.concat(F.lit("documents:"), F.col("doc_id").cast("string")))
     rows = docs.select(F.lit("documents").alias("dataset"), key.alias("source_id"), F.col("doc_id").alias("seq"), F.col("text").alias("f_text"), F.col("source").alias("f_source"), F.col("quality_mean").alias("score"))
     return with_state(rows)

@@ -63,6 +63,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` for work that costs far more than moving its rows, where its files give fewer partitions than the cluster has cores: its rows are dealt out once. Any larger input stays where it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file wherever the session's file systems reach; an earlier one is replaced."""
     jvm = spark.sparkContext._jvm
