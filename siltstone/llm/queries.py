@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm import forms, mixing, neardup, packing, quality, tokens
-from siltstone.session import staged
+from siltstone.session import spread, staged
 
 #: Rows of the capacity table that are held on the driver at most.
 MOST_CAPACITIES = 1_000
@@ -18,6 +18,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts Python works on; a small one is dealt out to all cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def _mix(spark: SparkSession, sf_dir: str) -> mixing.Mix:
     return mixing.mix(*(table(spark, sf_dir, t) for t in ("mix_candidates", "dataset_profiles", "mix_plans", "mix_targets")))
 
@@ -40,20 +45,20 @@ def p1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p2_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and tokens by source, language and domain, over all documents."""
     ledger = tokens.TokenLedger(spark)
-    ledger.update(table(spark, sf_dir, "documents"), table(spark, sf_dir, "dataset_profiles"))
+    ledger.update(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "dataset_profiles"))
     return ledger.cube
 
 
 def p2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tokens of each document and the slice it counts for."""
     ledger = tokens.TokenLedger(spark)
-    ledger.update(table(spark, sf_dir, "documents"), table(spark, sf_dir, "dataset_profiles"))
+    ledger.update(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "dataset_profiles"))
     return ledger.state.select("doc_id", "source", "lang", "domain", "n_tokens")
 
 
 def _two_days(spark: SparkSession, sf_dir: str) -> tuple[tokens.TokenLedger, DataFrame]:
     """A ledger of punctual documents, opened again and brought to the corpus of all documents that have a feed; the deltas of the second update."""
-    docs, profiles = table(spark, sf_dir, "documents"), table(spark, sf_dir, "dataset_profiles")
+    docs, profiles = texts(spark, sf_dir, "documents"), table(spark, sf_dir, "dataset_profiles")
     first = tokens.TokenLedger(spark)
     first.update(docs.where("ingested_at <= collected_at + interval 1 day"), profiles)
     again = tokens.TokenLedger(spark, path=first.path)
@@ -76,12 +81,12 @@ def p2_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each document the bytes that its ids stand for, which are those of its text, and whether it has any ids."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     return tokens.ids_bytes(tokens.encode_corpus(docs, lexicon=tokens.build_lexicon(docs)))
 
 
 def _near(spark: SparkSession, sf_dir: str) -> neardup.NearDuplicates:
-    return neardup.near_duplicates(table(spark, sf_dir, "samples"), width=3, threshold=0.6, least_words=20)
+    return neardup.near_duplicates(texts(spark, sf_dir, "samples"), width=3, threshold=0.6, least_words=20)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,17 +101,17 @@ def p3_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that repeat an earlier one in another form."""
-    return forms.form_groups(table(spark, sf_dir, "raw_records"))[1]
+    return forms.form_groups(texts(spark, sf_dir, "raw_records"))[1]
 
 
 def p4_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each different record once, by its smallest id, with the number of its copies."""
-    return forms.form_groups(table(spark, sf_dir, "raw_records"))[0]
+    return forms.form_groups(texts(spark, sf_dir, "raw_records"))[0]
 
 
 def p5_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document by byte_bpe_50k."""
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     return tokens.encode_corpus(docs, lexicon=tokens.build_lexicon(docs))
 
 
@@ -118,7 +123,7 @@ def capacities(spark: SparkSession, sf_dir: str) -> dict[str, int]:
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = staged(tokens.content_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens"), "sizes")
+    sizes = staged(tokens.content_counts(texts(spark, sf_dir, "documents")).select("doc_id", "n_tokens"), "sizes")
     return packing.pack(sizes, capacities(spark, sf_dir))
 
 
@@ -139,19 +144,19 @@ def p6_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p6_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of each capacity the documents placed, and what must not occur: overfull sequences, needless splits, lost tokens."""
-    sizes = staged(tokens.content_counts(table(spark, sf_dir, "documents")).select("doc_id", "n_tokens"), "sizes")
+    sizes = staged(tokens.content_counts(texts(spark, sf_dir, "documents")).select("doc_id", "n_tokens"), "sizes")
     room = capacities(spark, sf_dir)
     return packing.packing_faults(staged(packing.pack(sizes, room), "packed"), sizes, room)
 
 
 def p7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text statistics of every document, its distance from prose, and what each statistic adds."""
-    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+    return quality.quality(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of 200 characters or more and without a path that are not natural prose."""
-    docs = table(spark, sf_dir, "documents").withColumn("_asked", F.expr("path is null and length(text) >= 200"))
+    docs = texts(spark, sf_dir, "documents").withColumn("_asked", F.expr("path is null and length(text) >= 200"))
     far = quality.measured(docs, table(spark, sf_dir, "common_words"), keep=("_asked",))
     return quality.not_prose(far.where("_asked")).distinct()
 
