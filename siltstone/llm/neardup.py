@@ -394,8 +394,10 @@ def meeting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def verified(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """Of ``(a, b, x, y)`` the pairs whose sets are similar, with their Jaccard similarity."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 4_000):
-            part = batch.slice(at, 4_000)
+        size = np.array([len(u) + len(v) for u, v in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())], np.int64)
+        cut = np.flatnonzero(np.diff(np.cumsum(size) // 20_000_000, prepend=-1)).tolist()  # pairs of about 20 MB together
+        for at, end in zip(cut, [*cut[1:], batch.num_rows]):
+            part = batch.slice(at, end - at)
             x, y = ([unpacked(v) for v in part.column(k).to_pylist()] for k in (2, 3))
             common = shared(x, y, BITS)
             share = common / (np.fromiter(map(len, x), np.int64, len(x)) + np.fromiter(map(len, y), np.int64, len(y)) - common)
@@ -425,7 +427,7 @@ def least_labels(edges: DataFrame) -> DataFrame:
 
 @dataclass
 class NearDuplicates:
-    """``members``: (key, id) of all texts long enough, one id for the same words; ``links``: (a, b, similarity) of ids."""
+    """``members``: (_key, id) of all texts long enough, one id for the same words; ``links``: (a, b, similarity) of ids."""
 
     members: DataFrame
     links: DataFrame
@@ -436,7 +438,7 @@ class NearDuplicates:
         """``(key_a, key_b)``, the smaller first: all pairs of keys with nearly the same text, equal texts included."""
         k, m = self.key, self.members
         both = self.links.select("a", "b").unionByName(self.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        left, right = m.select(F.col(k).alias(f"{k}_a"), F.col("id").alias("a")), m.select(F.col(k).alias(f"{k}_b"), F.col("id").alias("b"))
+        left, right = m.select(F.col("_key").alias(f"{k}_a"), F.col("id").alias("a")), m.select(F.col("_key").alias(f"{k}_b"), F.col("id").alias("b"))
         different = left.join(both, "a").join(right, "b").where(F.col(f"{k}_a") < F.col(f"{k}_b")).select(f"{k}_a", f"{k}_b")
         # only texts that occur again are joined to themselves, a part of their copies at a time
         again = m.groupBy("id").agg(F.ceil(F.count("*") / self.copies_at_once).cast("int").alias("_parts"), F.count("*").alias("_n")).where("_n > 1").select(F.col("id").alias("a"), "_parts")
@@ -455,12 +457,12 @@ class NearDuplicates:
         k, m = self.key, self.members
         labels = least_labels(self.links)
         degree = self.links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
-        classes = m.groupBy("id").agg(F.min(k).alias("_first"), F.count("*").alias("copies"))
+        classes = m.groupBy("id").agg(F.min("_key").alias("_first"), F.count("*").alias("copies"))
         named = classes.join(labels.withColumnRenamed("node", "id"), "id", "left").join(degree, "id", "left").withColumn("label", F.coalesce("label", "id"))
         named = staged(named, "classes")
         group = named.groupBy("label").agg(F.min("_first").alias("group_id"))
         full = named.join(group, "label").select("id", "group_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
-        return m.join(full, "id").select(k, "group_id", "copies", "links")
+        return m.join(full, "id").select(F.col("_key").alias(k), "group_id", "copies", "links")
 
 
 def bucketed(df: DataFrame, column: str, buckets: int) -> tuple[DataFrame, str]:
@@ -484,12 +486,13 @@ def near_duplicates(docs: DataFrame, key: str = "sample_id", text: str = "text",
     """
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks, name = bucketed(shingle_chunks(docs, key, text, width, least_words), "chunk", buckets)
+    texts = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    chunks, name = bucketed(shingle_chunks(texts, "_key", "_text", width, least_words), "chunk", buckets)
     sets = chunks.select("chunk", F.posexplode("digests").alias("at", "digest")).select("digest", (F.col("chunk") * CHUNK_SETS + F.col("at")).alias("own"))
     first = sets.groupBy("digest").agg(F.min("own").alias("id"))
     ids = staged(sets.join(first, "digest").select("own", "id"), "ids")
-    members = chunks.select("chunk", F.explode(F.arrays_zip("keys", "at")).alias("m")).select(F.col("m.keys").alias(key), (F.col("chunk") * CHUNK_SETS + F.col("m.at")).alias("own"))
-    members = staged(members.join(ids, "own").select(key, "id").distinct(), "members")
+    members = chunks.select("chunk", F.explode(F.arrays_zip("keys", "at")).alias("m")).select(F.col("m.keys").alias("_key"), (F.col("chunk") * CHUNK_SETS + F.col("m.at")).alias("own"))
+    members = staged(members.join(ids, "own").select("_key", "id").distinct(), "members")
     by_chunk = [F.shiftright("id", 16).alias("chunk"), (F.col("id") % CHUNK_SETS).cast("int").alias("at")]
     kept = staged(ids.where("own = id").select(*by_chunk).groupBy("chunk").agg(F.collect_list("at").alias("kept")), "kept")
     live = chunks.select("chunk", "sizes", "hashes").join(kept, "chunk")

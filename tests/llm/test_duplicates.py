@@ -59,6 +59,8 @@ def test_long_and_hot(spark):
     assert [(r.sample_id_a, r.sample_id_b) for r in near.pairs().collect() if r.sample_id_a < 10] == [(1, 2)]
     own = [r for r in near.groups().collect() if r.sample_id >= 10]
     assert {(r.group_id, r.copies, r.links) for r in own} == {(10, 200, 0)}
+    clash = spark.createDataFrame([(i, t, 1, "x") for i, t in rows[:2]], "id long, chunk string, n int, digest string")
+    assert [tuple(r) for r in near_duplicates(clash, "id", "chunk").pairs().collect()] == [(1, 2)]
     none = near_duplicates(spark.createDataFrame([], "sample_id long, text string"))
     assert none.pairs().count() == 0 and none.groups().count() == 0
 
