@@ -244,6 +244,11 @@ def blend_sizes(weights: Sequence[float], target: int, surplus: float = 0.005) -
     return [ceil(ceil(target * w / total) * (1 + surplus)) for w in weights]
 
 
+def blend_size(share: Column, target: int, surplus: float = 0.005) -> Column:
+    """``blend_sizes`` of a column of shares that sum to 1."""
+    return F.ceil(F.ceil(F.round(share * target, 9)) * (1 + surplus)).cast("long")
+
+
 def blend_order(weights: Sequence[float], size: int) -> list[tuple[int, int]]:
     """``(dataset, sample)`` of each step: the dataset furthest behind its share comes next, of equal ones the first."""
     total = sum(weights)

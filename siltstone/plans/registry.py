@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltstone.functions import text as tx
 from siltstone.operators import corpus, dedup, evaluation, prep, profiles, sequences, steps
@@ -377,6 +378,15 @@ def mix_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.select_mix(rows.select("source", F.col("candidate_id").alias("id")), wanted, 7)
 
 
+@query("""WITH t AS (SELECT mix_id, lower(trim(source)) AS source, max(weight) AS w FROM mix_targets WHERE weight > 0 GROUP BY 1, 2), s AS (SELECT *, sum(w) OVER (PARTITION BY mix_id) AS total FROM t)
+SELECT mix_id, source, CAST(ceil(ceil(round(100003 * w / total, 9)) * 1.005) AS BIGINT) AS samples FROM s""")
+def blend_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples to build of each source for blends of 100,003, with a surplus; the targets are one small table."""
+    rows = table(spark, sf_dir, "mix_targets").where("weight > 0").groupBy("mix_id", F.lower(F.trim("source")).alias("source")).agg(F.max("weight").alias("w"))
+    whole = F.sum("w").over(Window.partitionBy("mix_id"))
+    return rows.select("mix_id", "source", prep.blend_size(F.col("w") / whole, 100_003).alias("samples"))
+
+
 @query()
 def prefix_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("n_tokens") <= 512, "mix16").when(F.col("n_tokens") <= 2048, "mix64").otherwise("mix256")

@@ -42,6 +42,29 @@ def near_dedup_batch(table: str, text: str = "text", seq: str = "seq", threshold
     return write
 
 
+def clean_batch(folder: str, stage: str | None, category: str, profile: str | None = None, config: dict | None = None, keep_dropped: bool = False):
+    """A ``foreachBatch`` function that cleans records (see ``plans.record``) as they arrive.
+
+    What is kept of each batch goes to ``folder``/rows, in the released form, and the digests of
+    all texts that reached deduplication to ``folder``/digests; texts of earlier batches count
+    as seen. A batch that runs again replaces what it wrote.
+    """
+    from siltstone.plans.pipeline import clean
+    from siltstone.session import staged
+    from siltstone.sources.jsonl import released
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        earlier = spark.read.schema("digest string, epoch long").parquet(f"{folder}/digests").where(F.col("epoch") < epoch) if epoch else None
+        cleaned = staged(clean(batch, stage, category, profile, dict(config or {}, prior_digests=earlier)), "cleaned")
+        kept = cleaned if keep_dropped else cleaned.where("decision <> 'drop'")
+        released(kept).write.mode("overwrite").parquet(f"{folder}/rows/epoch={epoch}")
+        reached = cleaned.where("text_sha256 is not null").select(text_digest(F.col("text")).alias("digest")).distinct()
+        reached.write.mode("overwrite").parquet(f"{folder}/digests/epoch={epoch}")
+
+    return write
+
+
 def tumbling(events: DataFrame, size: str = "1 hour", delay: str = "1 hour") -> DataFrame:
     return (
         events.withWatermark("ts", delay).groupBy(F.window("ts", size).alias("w"), "event_type")

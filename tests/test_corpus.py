@@ -170,3 +170,25 @@ def test_microshards_equal_a_loop(spark):
         assert sorted(map(tuple, prep.microshards(df, 20).collect())) == expected
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_cleaning_of_a_stream(spark, tmp_path):
+    from siltstone.plans.record import adapted
+    from siltstone.streaming.pipeline import clean_batch
+
+    write = clean_batch(str(tmp_path), "pretrain", "general_text")
+    for epoch, texts in enumerate((["a first text of some length", "a second text of some length"], ["A  first text of some length", "a third text of some length", ""])):
+        df = spark.createDataFrame([(10 * epoch + i, json.dumps({"text": t, "source": "s"})) for i, t in enumerate(texts)], "seq long, payload string")
+        for _ in range(2):  # a batch that is run again changes nothing
+            write(adapted(df, "payload", F.lit("d"), F.col("seq")), epoch)
+    assert sorted(r.seq for r in spark.read.parquet(str(tmp_path / "rows")).collect()) == [0, 1, 11]
+
+
+def test_near_duplicates_of_a_stream(spark, tmp_path):
+    from siltstone.streaming.pipeline import near_dedup_batch
+
+    base = " ".join(f"word{i}" for i in range(60))
+    write = near_dedup_batch(str(tmp_path))
+    for epoch, rows in enumerate(([(0, base), (1, "quite another text"), (2, base)], [(3, base), (4, "a third text then"), (5, "a third text then")])):
+        write(spark.createDataFrame(rows, "seq long, text string"), epoch)
+    assert sorted(r.seq for r in spark.read.parquet(str(tmp_path / "rows")).collect()) == [0, 1, 4]

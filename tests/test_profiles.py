@@ -39,7 +39,7 @@ def test_source_files(clean):
 def test_scored_pages(clean):
     text = "a page of text that is long enough for the checks "
     rows = [
-        {"id": 1, "source": "s", "text": text + "1", "lid_score": 0.93, "minhash_count": 1, "primary_score": 0.88},
+        {"id": 1, "source": "s", "text": text + "1", "lid_score": 0.97, "minhash_count": 2, "primary_score": 0.81},
         {"id": 2, "source": "s", "text": text + "2", "lid_score": 0.5, "minhash_count": 3, "primary_score": 0.1},
         {"id": 3, "source": "s", "text": text + "3", "lid_score": None, "metadata": {"lid_score": 0.9}, "minhash_count": "1", "primary_score": True},
     ]
@@ -50,12 +50,12 @@ def test_scored_pages(clean):
 
 
 def test_compressible_pages(clean):
-    out = clean([{"source": "s", "text": "same words " * 400, "edu_score": 0.8}, {"source": "s", "text": "Some words that differ from each other quite well.", "edu_score": "x"}, {"text": " "}], "pretrain", "pdf_ocr", "olmocr")
+    out = clean([{"source": "s", "text": "one line again\n" * 700, "edu_score": 0.66}, {"source": "s", "text": "Some words that differ from each other quite well.", "edu_score": "x"}, {"text": " "}], "pretrain", "pdf_ocr", "olmocr")
     assert out[0]["reasons"] == ["olmocr_low_compression_ratio"] and out[1]["reasons"] == ["olmocr_invalid_edu_score"] and out[2]["reasons"] == ["olmocr_missing_text"]
 
 
 def test_scored_web(clean):
-    rows = [{"source": "s", "text": "a web page with enough text", "quality_mean": 4.2, "token_count": 20000}, {"source": "s", "text": "another web page with text", "metadata": {"quality_mean": "2.4"}, "token_count": 0}]
+    rows = [{"source": "s", "text": "a web page with enough text", "quality_mean": 4.6, "token_count": 31_000}, {"source": "s", "text": "another web page with text", "metadata": {"quality_mean": "1.7"}, "token_count": 0}]
     out = clean(rows, "midtrain", "web", "web_knowledge", web_knowledge_min_quality_band="ge3")
     assert out[0]["decision"] == "keep" and out[0]["buckets"]["classifier_quality"] == "ge4" and out[0]["buckets"]["source_length"] == "gt_16k_le_64k"
     assert out[1]["reasons"] == ["web_knowledge_missing_token_count", "web_knowledge_below_quality_band"]
