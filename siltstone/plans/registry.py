@@ -47,7 +47,23 @@ def general_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_state(rows)
 
 
-@query()
+#: The normal form in SQL, which has NFC only: on these tables the two differ in no digest that repeats and no bucket.
+_BLANKS_SQL = r"[ \t\x0b\x0c\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_NORMAL_SQL = rf"""WITH a AS (SELECT *, nfc_normalize(regexp_replace(coalesce(text, ''), '\r\n|\r', chr(10), 'g')) AS t1 FROM documents),
+b AS (SELECT *, regexp_replace(regexp_replace(t1, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '[\x{{85}}\x{{2028}}\x{{2029}}]', chr(10), 'g') AS t2 FROM a),
+c AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(t2, '[\t ]+', ' ', 'g'), '(?m)^{_BLANKS_SQL}+|{_BLANKS_SQL}+$', '', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS t3 FROM b),
+n AS (SELECT *, regexp_replace(t3, '^\n+|\n+$', '', 'g') AS normal FROM c), h AS (SELECT *, sha256(lower(normal)) AS digest, length(normal) AS size FROM n)"""
+_SECRET_IN = f"""coalesce(regexp_matches(normal, '{steps.SECRET.replace("'", "''")}'), false)"""
+
+
+@query(_NORMAL_SQL + f""", q AS (SELECT *, coalesce(text, '') <> '' AND size >= 16 AS whole, coalesce(quality_mean < 2, false) AS low FROM h),
+r AS (SELECT *, whole AND NOT low AND row_number() OVER (PARTITION BY digest, whole AND NOT low ORDER BY doc_id) > 1 AS again FROM q),
+e AS (SELECT *, CASE WHEN coalesce(text, '') = '' THEN 'missing_text' WHEN size = 0 THEN 'empty_training_text' WHEN size < 16 THEN 'too_short' ELSE concat_ws(',', CASE WHEN size > 2000000 THEN 'too_long' END,
+CASE WHEN coalesce(source, '') = '' THEN 'missing_source' END, CASE WHEN {_SECRET_IN} THEN 'possible_secret' END, CASE WHEN low THEN 'quality_score_below_drop_threshold' WHEN quality_mean < 3 THEN 'quality_score_below_keep_threshold' END,
+CASE WHEN again THEN 'exact_duplicate' END) END AS reasons FROM r)
+SELECT 'documents' AS dataset, CASE WHEN doc_id = 0 THEN 'documents:0' ELSE CAST(doc_id AS VARCHAR) END AS source_id, CASE WHEN NOT whole OR low OR again THEN 'drop' WHEN reasons <> '' THEN 'review' ELSE 'keep' END AS decision, reasons,
+CASE WHEN whole THEN concat_ws(',', CASE WHEN coalesce(source, '') = '' THEN 'missing_source' END, CASE WHEN {_SECRET_IN} THEN 'possible_secret' END) ELSE '' END AS flags,
+CASE WHEN NOT whole OR low OR again THEN NULL WHEN size <= 8192 THEN '1_2048' WHEN size <= 32768 THEN '2049_8192' WHEN size <= 131072 THEN '8193_32768' WHEN size <= 262144 THEN '32769_65536' ELSE 'gt_65536' END AS length FROM e""")
 def clean_general_text_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as general text for pretraining."""
     policy = {"default": {"score_field": "quality_mean", "keep_min": 3.0, "review_min": 2.0}}
@@ -189,7 +205,12 @@ def assistant_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.turn_pairs(turns, "record_id", "turn", "role", "content")
 
 
-@query()
+@query(_NORMAL_SQL + f""", q AS (SELECT *, coalesce(text, '') = '' AS missing, coalesce(text, '') <> '' AND size >= 16 AS whole, coalesce(source, '') = '' AS lone, {_SECRET_IN} AS secret FROM h),
+r AS (SELECT *, whole AND row_number() OVER (PARTITION BY digest, whole ORDER BY doc_id) > 1 AS again FROM q),
+t AS (SELECT count(*) AS a, count(*) FILTER (missing) AS m, count(*) FILTER (whole) AS w, count(*) FILTER (whole AND size > 2000000) AS l, count(*) FILTER (whole AND lone AND size <= 2000000) AS s,
+count(*) FILTER (whole AND NOT lone AND secret AND size <= 2000000) AS k, count(*) FILTER (again) AS d FROM r)
+SELECT unnest([{", ".join(str(i) for i in range(10))}]) AS position, unnest([{", ".join(f"'{x.name}'" for x in steps_of("pretrain", "general_text"))}]) AS step,
+unnest([a, a - m, a - m, w, w, w, w, w - d, w - d, w - d]) AS seen, unnest([0, 0, l, s, k, 0, 0, 0, 0, 0]) AS review, unnest([m, 0, a - m - w, 0, 0, 0, d, 0, 0, 0]) AS dropped FROM t""")
 def step_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows seen and decisions changed at each step for general text."""
     return step_counts(clean(general_records(spark, sf_dir), "pretrain", "general_text"), steps_of("pretrain", "general_text"))
@@ -242,11 +263,11 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.later_copies(keyed, "digest", "doc_id")
 
 
-@query()
+@query(_NORMAL_SQL + " SELECT doc_id FROM (SELECT *, row_number() OVER (PARTITION BY digest ORDER BY doc_id) AS r FROM h WHERE text <> '') WHERE r > 1")
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that repeat an earlier one but for case and spacing."""
     docs = table(spark, sf_dir, "documents").where("text <> ''")
-    return dedup.repeats(docs, F.col("text"), "doc_id").where("duplicate").select("doc_id", "digest")
+    return dedup.repeats(docs, F.col("text"), "doc_id").where("duplicate").select("doc_id")
 
 
 @query()
@@ -556,7 +577,16 @@ def near_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.near_pairs(table(spark, sf_dir, "part").select((F.col("p_partkey").cast("long") * 37).alias("fingerprint")))
 
 
-@query()
+def _grams_sql(name: str, key: str, source: str) -> str:
+    leads = ", ".join(f"lead(w, {i}) OVER o" for i in range(1, 13))
+    return f"""{name}l AS (SELECT {key} AS id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS l FROM {source}),
+{name}w AS (SELECT id, unnest(l) AS w, generate_subscripts(l, 1) AS i FROM {name}l), {name}g AS (SELECT id, concat_ws(' ', w, {leads}) AS g, lead(w, 12) OVER o AS last FROM {name}w WINDOW o AS (PARTITION BY id ORDER BY i)),
+{name} AS (SELECT DISTINCT id, g FROM {name}g WHERE last IS NOT NULL)"""
+
+
+@query(_PAYLOADS.format(category="instruction") + f""", b AS (SELECT record_id, coalesce({_text_sql("instruction")}, {_text_sql("prompt")}) AS text FROM j),
+{_grams_sql("tests", "record_id", "b")}, {_grams_sql("own", "doc_id", "documents")}, c AS (SELECT id AS doc_id, count(*) AS shingles, count(*) FILTER (g IN (SELECT g FROM tests)) AS shared FROM own GROUP BY 1)
+SELECT doc_id, shingles, shared, shared / shingles AS overlap FROM c WHERE shared > 0""")
 def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that share 13-grams with the question records of the instruction category, as if these were a benchmark."""
     tests = raw(spark, sf_dir, "instruction").select(F.coalesce("f_instruction", "f_prompt").alias("text")).where("text is not null")
