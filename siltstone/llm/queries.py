@@ -215,6 +215,15 @@ got AS (
   SELECT mix_id, source, sum(copies) AS emitted, count(*) AS used, sum(copies * n_tokens) AS tokens FROM chosen GROUP BY 1, 2)
 """
 
+#: Texts in NFC, since SQL has no NFKC: the two give the same words on these tables.
+_WORDS_SQL = r"""
+WITH RECURSIVE s AS (SELECT sample_id, min(text) AS text FROM samples WHERE text IS NOT NULL AND sample_id IS NOT NULL GROUP BY 1),
+w AS (SELECT sample_id, regexp_extract_all(regexp_replace(lower(nfc_normalize(text)), '(\p{Han})', ' \1 ', 'g'), '[\p{L}\p{N}]+') AS w FROM s),
+g AS (SELECT sample_id, w, list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM w WHERE len(w) >= 20),
+e AS (SELECT sample_id, len(g) AS n, hash(unnest(g)) AS h FROM g),
+c AS (SELECT a.sample_id AS sample_id_a, b.sample_id AS sample_id_b, a.n AS x, b.n AS y, count(*) AS c FROM e a JOIN e b ON a.h = b.h AND a.sample_id < b.sample_id GROUP BY ALL),
+pairs AS (SELECT sample_id_a, sample_id_b FROM c WHERE c >= 0.6 * (x + y - c))
+"""
 _BLANK = "('', 'none', 'null', 'tbd', 'und', 'unknown', 'n/a')"
 _SLICES_SQL = f"""
 WITH names AS (SELECT DISTINCT lower(trim(profile)) AS profile, CASE WHEN lower(trim(source)) IN {_BLANK} THEN 'unknown' ELSE lower(trim(source)) END AS source FROM dataset_profiles),
@@ -243,4 +252,12 @@ FROM pack_capacities WHERE sequence_length > 0""",
 SELECT slice_source AS source, slice_lang AS lang, slice_domain AS domain, count(*) AS docs, CAST(0 AS BIGINT) AS docs_apart, CAST(0 AS BIGINT) AS tokens_apart
 FROM sliced WHERE source IS NOT NULL GROUP BY 1, 2, 3""",
     "p5_bytes": "SELECT doc_id, CAST(coalesce(strlen(text), 0) AS BIGINT) AS bytes, coalesce(text, '') <> '' AS has_ids FROM documents",
+    "p3_found": _WORDS_SQL + "SELECT sample_id_a, sample_id_b FROM pairs",
+    "p3_groups": _WORDS_SQL
+    + """,
+k AS (SELECT sample_id, min(sample_id) OVER (PARTITION BY w) AS class, count(*) OVER (PARTITION BY w) AS copies FROM g),
+d AS (SELECT DISTINCT a.class AS a, b.class AS b FROM (SELECT sample_id_a AS x, sample_id_b AS y FROM pairs UNION ALL SELECT sample_id_b, sample_id_a FROM pairs) JOIN k a ON a.sample_id = x JOIN k b ON b.sample_id = y WHERE a.class <> b.class),
+r AS (SELECT DISTINCT class AS a, class AS b FROM k UNION SELECT r.a, d.b FROM r JOIN d ON r.b = d.a),
+m AS (SELECT a, min(b) AS group_id FROM r GROUP BY 1), l AS (SELECT a, count(*) AS links FROM d GROUP BY 1)
+SELECT sample_id, group_id, copies, coalesce(links, 0) AS links FROM k JOIN m ON m.a = class LEFT JOIN l ON l.a = class""",
 }
