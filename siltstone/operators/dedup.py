@@ -77,15 +77,13 @@ def near_pairs(prints: DataFrame, threshold: int = 3, bands: int = 4, others: Da
     cuts = cut_points(max(threshold + 3, bands))
     part = lambda value, i: F.shiftrightunsigned(value, cuts[i][0]).bitwiseAND(F.lit((1 << cuts[i][1]) - 1))
     choices = list(combinations(range(len(cuts)), 3))
-    keys = [F.struct(F.lit(sum(1 << i for i in c)).alias("choice"), F.xxhash64(*[part(F.col("fingerprint"), i) for i in c]).alias("value")) for c in choices]
+    keys = [F.struct(F.lit(sum(1 << i for i in c)).alias("choice"), F.lit((2 << c[-1]) - 1).alias("upto"), F.xxhash64(*[part(F.col("fingerprint"), i) for i in c]).alias("value")) for c in choices]
     left, right = (x.select("fingerprint").distinct().select(F.col("fingerprint").alias(n), F.explode(F.array(*keys)).alias("k")).select(n, "k.*") for x, n in ((prints, "a"), (prints if others is None else others, "b")))
     apart = F.col("a").bitwiseXOR(F.col("b"))
     common = reduce(lambda x, y: x + y, [F.when(part(apart, i) == 0, 1 << i).otherwise(0) for i in range(len(cuts))])
-    lowest = lambda x: x.bitwiseAND(-x)
-    one = lowest(common)
-    two = lowest(common - one)
-    three = lowest(common - one - two)
-    pairs = left.join(right, ["choice", "value"]).where((F.col("a") < F.col("b") if others is None else F.col("a") != F.col("b")) & (F.bit_count(apart) <= threshold) & (F.col("choice") == one + two + three))
+    met = left.join(right, ["choice", "upto", "value"]).where((F.col("a") < F.col("b") if others is None else F.col("a") != F.col("b")) & (F.bit_count(apart) <= threshold))
+    # of a pair's choices the first: no other common block stands before its last
+    pairs = met.where(common.bitwiseAND(F.col("upto")) == F.col("choice"))
     return pairs.select("a", "b", F.bit_count(apart).alias("distance"))
 
 
