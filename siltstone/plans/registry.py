@@ -266,13 +266,13 @@ def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_NORMAL_SQL + " SELECT doc_id FROM (SELECT *, row_number() OVER (PARTITION BY digest ORDER BY doc_id) AS r FROM h WHERE text <> '') WHERE r > 1")
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that repeat an earlier one but for case and spacing."""
-    docs = table(spark, sf_dir, "documents").where("text <> ''")
+    docs = spread(table(spark, sf_dir, "documents")).where("text <> ''")
     return dedup.repeats(docs, F.col("text"), "doc_id").where("duplicate").select("doc_id")
 
 
 @query()
 def near_dedup_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = table(spark, sf_dir, "documents").where("text <> ''").select(F.col("doc_id").alias("seq"), tx.simhash(F.col("text")).alias("fingerprint"))
+    prints = spread(table(spark, sf_dir, "documents")).where("text <> ''").select(F.col("doc_id").alias("seq"), tx.simhash(F.col("text")).alias("fingerprint"))
     return dedup.near_repeats(staged(prints, "prints")).select(F.col("seq").alias("doc_id"))
 
 
