@@ -192,3 +192,26 @@ def test_near_duplicates_of_a_stream(spark, tmp_path):
     for epoch, rows in enumerate(([(0, base), (1, "quite another text"), (2, base)], [(3, base), (4, "a third text then"), (5, "a third text then")])):
         write(spark.createDataFrame(rows, "seq long, text string"), epoch)
     assert sorted(r.seq for r in spark.read.parquet(str(tmp_path / "rows")).collect()) == [0, 1, 4]
+
+
+def _sample_query(spark, folder, name):
+    """Rows of a query over samples, some with an id of several texts, none or a null one; its plan must join nothing, since a join may send all tokens to the driver."""
+    from siltstone.plans import registry
+
+    rows = [(1, "ab c" * 50), (1, "ab c" * 50), (1, "xy"), (2, "é"), (3, ""), (4, None), (None, "no id")]
+    spark.createDataFrame(rows, "sample_id long, text string").write.parquet(f"{folder}/samples.parquet")
+    found = registry.QUERIES[name](spark, str(folder))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, 2, True), (1, 200, True), (2, 2, True), (None, 5, True)]
+
+
+def test_corrupted_samples_join_nothing(spark, tmp_path):
+    _sample_query(spark, tmp_path, "corrupted_samples")
+
+
+def test_cells_of_lists():
+    import pyarrow as pa
+
+    column = pa.array([[1, 2], None, [], [3], [4, 5]], pa.list_(pa.int32()))
+    assert sequences.cells(column) == column.to_pylist() and sequences.cells(column.slice(1, 3)) == [None, [], [3]]
+    assert sequences.cells(pa.array([[1, None], [2]])) == [[1, None], [2]] and sequences.cells(pa.array(["a", None])) == ["a", None]
