@@ -209,6 +209,10 @@ def test_corrupted_samples_join_nothing(spark, tmp_path):
     _sample_query(spark, tmp_path, "corrupted_samples")
 
 
+def test_infilled_samples_join_nothing(spark, tmp_path):
+    _sample_query(spark, tmp_path, "infilled_samples")
+
+
 def test_cells_of_lists():
     import pyarrow as pa
 
