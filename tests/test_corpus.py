@@ -213,6 +213,22 @@ def test_infilled_samples_join_nothing(spark, tmp_path):
     _sample_query(spark, tmp_path, "infilled_samples")
 
 
+def test_masked_samples_join_nothing(spark, tmp_path):
+    _sample_query(spark, tmp_path, "masked_samples")
+
+
+def test_byte_lists():
+    import pyarrow as pa
+
+    texts = ["ab", None, "", "é€😀", "c\0d"]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(texts, kind)
+        whole = [sequences.byte_tokens(t) if t else None for t in texts]
+        assert sequences.byte_lists(column).to_pylist() == whole and sequences.byte_lists(column.slice(1, 3)).to_pylist() == whole[1:4]
+        assert sequences.byte_lists(column.slice(1, 2)).to_pylist() == [None, None] and sequences.byte_lists(column.slice(0, 0)).to_pylist() == []
+    assert sequences.byte_lists(pa.array([None, ""], pa.string())).to_pylist() == [None, None]
+
+
 def test_cells_of_lists():
     import pyarrow as pa
 
