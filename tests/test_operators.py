@@ -144,3 +144,22 @@ def test_samples_that_are_not_packed(spark, tmp_path):
     spark.createDataFrame(rows, "sample_id long, text string").write.parquet(f"{tmp_path}/samples.parquet")
     assert sorted(map(tuple, registry.QUERIES["packing_unpacked"](spark, str(tmp_path)).collect())) == [(2, 8_193), (3, 0), (4, 0), (5, 10_000)]
     assert [r.samples for r in registry.QUERIES["packing"](spark, str(tmp_path)).collect()] == [1]
+
+
+def test_near_join_of_dense_numbers(spark, tmp_path):
+    """Numbers that differ in their low bits only: each block has its share of these, so no key holds all numbers, and no side is sent to the driver."""
+    from siltstone.plans import registry
+
+    for blocks in (6, 8, 16):
+        masks = dedup.block_masks(blocks)
+        assert sum(masks) == 2**64 - 1 and sum(bin(m).count("1") for m in masks) == 64
+        for low, high in ((0, 20), (0, 26), (10, 30), (0, 64)):
+            shares = [bin(m >> low & (1 << high - low) - 1).count("1") for m in masks]
+            assert max(shares) - min(shares) <= 1
+    spark.range(1, 401).select(F.col("id").alias("p_partkey")).unionByName(spark.createDataFrame([(None,), (None,), (5,)], "p_partkey long")).write.parquet(f"{tmp_path}/part.parquet")
+    found = registry.QUERIES["near_bits"](spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    values = [37 * i for i in range(1, 401)]
+    expected = sorted((a, b, bin(a ^ b).count("1")) for i, a in enumerate(values) for b in values[i + 1 :] if bin(a ^ b).count("1") <= 3)
+    assert sorted(map(tuple, found.collect())) == expected and len(expected) > 100
